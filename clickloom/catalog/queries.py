@@ -165,7 +165,7 @@ def dlq_replay(spark, sf_dir):
         })
 
     passed = chain.accepted(dead_letters.replay(dead(spark, sf_dir), repair))
-    return chain.to_stored(passed.transform(chain.normalize).transform(chain.enrich))
+    return chain.to_stored(chain.refine(passed))
 
 
 # --- storing and publishing -------------------------------------------------------------------------

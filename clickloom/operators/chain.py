@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import clock, text
+from clickloom.functions.barrier import once
 from clickloom.functions.measures import is_type
-from clickloom.schemas import EVENT_TYPES, REQUIRED_FIELDS, SOURCE_COLUMNS, STORED_COLUMNS
+from clickloom.schemas import EVENT_TYPES, REQUIRED_FIELDS, STORED_COLUMNS
 
 # Parts of a user agent that mark bots and mobile devices.
 BOT_MARKS = ["bot", "crawler", "spider", "scrapy", "curl", "wget", "httpx"]
@@ -45,24 +49,30 @@ def missing_reason(absent: Column | None = None) -> Column:
     return F.when(F.size(absent) > 0, _listed(both)).otherwise(reason)
 
 
-def rule_reason() -> Column:
-    """Reason text of the first broken rule on the values, else null."""
+def value_rules() -> list[tuple[Column, Column]]:
+    """(what has to hold, reason if it does not) for the values of a row, in order."""
     ts, price, quantity = F.col("timestamp"), F.col("price_cents"), F.col("quantity")
-    bad_time = ts.isNull() | (ts <= 0) | (ts > clock.MAX_MS)
-    too_much = price.isNotNull() & quantity.isNotNull() & F.try_multiply(price, quantity).isNull()
-    return (
-        F.when(F.coalesce(~F.col("event_type").isin(EVENT_TYPES), F.lit(True)),
-               F.concat(F.lit("Invalid event_type: "), _shown(F.col("event_type"))))
-        .when(bad_time, F.concat(F.lit("Invalid timestamp: "), _shown(ts)))
-        .when(is_type("purchase") & (price < 0), F.concat(F.lit("Negative price_cents: "), price.cast("string")))
-        .when(is_type("purchase") & (quantity <= 0), F.concat(F.lit("Invalid quantity: "), quantity.cast("string")))
-        .when(is_type("purchase") & too_much, F.concat(F.lit("Revenue out of range: "), price.cast("string"),
-                                                       F.lit(" * "), quantity.cast("string")))
-    )
+    other = F.col("event_type") != "purchase"
+    product = F.try_multiply(F.coalesce(price, F.lit(0)), F.coalesce(quantity, F.lit(0)))
+    return [
+        (F.col("event_type").isin(EVENT_TYPES), F.concat(F.lit("Invalid event_type: "), _shown(F.col("event_type")))),
+        ((ts > 0) & (ts <= clock.MAX_MS), F.concat(F.lit("Invalid timestamp: "), _shown(ts))),
+        (other | (F.coalesce(price, F.lit(0)) >= 0), F.concat(F.lit("Negative price_cents: "), price.cast("string"))),
+        (other | (F.coalesce(quantity, F.lit(1)) > 0), F.concat(F.lit("Invalid quantity: "), quantity.cast("string"))),
+        (other | product.isNotNull(), F.concat(F.lit("Revenue out of range: "), price.cast("string"), F.lit(" * "),
+                                               quantity.cast("string"))),
+    ]
+
+
+def has_agent(events: DataFrame) -> DataFrame:
+    """Add `_agent`, the lower-case user agent, which the bot and the mobile test search several times."""
+    if "_agent" in events.columns:
+        return events
+    return once(events, _agent=F.lower(F.coalesce("user_agent", F.lit(""))))
 
 
-def is_bot(user_agent: Column) -> Column:
-    return text.contains_any(F.lower(F.coalesce(user_agent, F.lit(""))), BOT_MARKS)
+def is_bot() -> Column:
+    return text.contains_any(F.col("_agent"), BOT_MARKS)
 
 
 def validate(events: DataFrame) -> DataFrame:
@@ -71,20 +81,33 @@ def validate(events: DataFrame) -> DataFrame:
     Rows decoded from text bring `decode_error` and `absent_fields`, which come first.
     """
     absent = F.col("absent_fields") if "absent_fields" in events.columns else None
-    reasons = [missing_reason(absent), rule_reason()]
+    reasons = [missing_reason(absent)]
+    reasons += [F.when(~F.coalesce(holds, F.lit(False)), reason) for holds, reason in value_rules()]
     if "decode_error" in events.columns:
         reasons.insert(0, F.col("decode_error"))
     return events.withColumn("error_reason", F.coalesce(*reasons))
 
 
+def only_valid(events: DataFrame) -> DataFrame:
+    """The rows that `validate` finds nothing wrong with. Plain conditions, which reach the scan."""
+    valid = events.where(reduce(and_, [F.col(name).isNotNull() for name in NULL_IS_MISSING]))
+    for holds, _ in value_rules():
+        valid = valid.where(holds)
+    if "absent_fields" in events.columns:
+        valid = valid.where(F.size("absent_fields") == 0)
+    if "decode_error" in events.columns:
+        valid = valid.where(F.col("decode_error").isNull())
+    return valid
+
+
 def mark_bots(events: DataFrame) -> DataFrame:
     """Give valid rows of bots and crawlers their reason."""
-    bot = F.when(is_bot(F.col("user_agent")), F.lit(BOT_REASON))
-    return events.withColumn("error_reason", F.coalesce(F.col("error_reason"), bot))
+    reason = F.coalesce(F.col("error_reason"), F.when(is_bot(), F.lit(BOT_REASON)))
+    return has_agent(events).withColumn("error_reason", reason)
 
 
 def filter_bots(events: DataFrame) -> DataFrame:
-    return events.where(~is_bot(F.col("user_agent")))
+    return has_agent(events).where(~is_bot())
 
 
 def normalize(events: DataFrame) -> DataFrame:
@@ -98,14 +121,15 @@ def normalize(events: DataFrame) -> DataFrame:
 def enrich(events: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     price, quantity = F.coalesce("price_cents", zero), F.coalesce(F.col("quantity").cast("long"), zero)
-    return events.withColumns({
+    return has_agent(events).withColumns({
         "revenue_cents": F.when(is_type("purchase"), price * quantity).otherwise(zero),
         "event_hour": clock.hour_of_day(F.col("timestamp")),
-        "is_mobile": text.contains_any(F.lower(F.coalesce("user_agent", F.lit(""))), MOBILE_MARKS),
+        "is_mobile": text.contains_any(F.col("_agent"), MOBILE_MARKS),
     })
 
 
 def checked(events: DataFrame) -> DataFrame:
+    """All rows with `error_reason`, to be split into accepted and rejected ones."""
     return events.transform(validate).transform(mark_bots)
 
 
@@ -114,12 +138,18 @@ def accepted(checked_events: DataFrame) -> DataFrame:
 
 
 def rejected(checked_events: DataFrame) -> DataFrame:
-    return checked_events.where(F.col("error_reason").isNotNull())
+    return checked_events.where(F.col("error_reason").isNotNull()).drop("_agent")
+
+
+def refine(good: DataFrame) -> DataFrame:
+    """Normalize and enrich accepted rows."""
+    return good.transform(normalize).transform(enrich).drop("_agent")
 
 
 def process(events: DataFrame) -> DataFrame:
-    """The whole chain: good rows, normalized and enriched."""
-    return events.transform(checked).transform(accepted).transform(normalize).transform(enrich)
+    """The whole chain where only the good rows are wanted: no reasons are worked out."""
+    good = events.transform(only_valid).transform(filter_bots).drop("decode_error", "absent_fields")
+    return refine(good)
 
 
 def to_stored(processed: DataFrame) -> DataFrame:
@@ -131,7 +161,3 @@ def to_stored(processed: DataFrame) -> DataFrame:
 def from_stored(stored: DataFrame) -> DataFrame:
     """Rows of clickstream_events as processed rows, for windows and sessions."""
     return stored.withColumnRenamed("event_timestamp_ms", "timestamp")
-
-
-def source_columns(df: DataFrame) -> list[str]:
-    return [c for c in SOURCE_COLUMNS if c in df.columns]

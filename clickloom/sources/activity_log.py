@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions import clock
+from clickloom.functions.barrier import once
 from clickloom.operators.dead_letters import KEEP_NULLS
 from clickloom.schemas import EVENT_SCHEMA, SOURCE_COLUMNS
-from clickloom.sources.decode import once
 
 LOG_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -45,15 +45,15 @@ def _choice(*pairs: tuple[Column, Column | str | None]) -> Column:
 
 def to_events(log: DataFrame) -> DataFrame:
     """Raw event columns, with source_topic, source_partition and source_offset."""
-    base = log.select(
-        F.col("event_id").alias("eid"), F.col("user_id").alias("uid"), "value",
+    base = once(log.select(
+        F.col("event_id").alias("eid"), F.col("user_id").alias("uid"), "value", "props",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), F.col("event_type").alias("et"),
-        F.get_json_object("props", "$.k").cast("long").alias("k"))
+    ), k=F.get_json_object("props", "$.k").cast("long"))
     eid, uid, k, et = F.col("eid"), F.col("uid"), F.col("k"), F.col("et")
     click = et == "click"
     kind = (_choice((et == "view", "page_view"), (et == "signup", "search"), (click & (k % 10 < 6), "add_to_cart"),
                     (click & (k % 10 < 8), "remove_from_cart"), (click, "wishlist")).otherwise(et))
-    typed = base.withColumn("event_type", kind)
+    typed = once(base, event_type=kind)
     t = F.col("event_type")
     no_price = t.isin("search", "remove_from_cart")
     price = F.round(F.col("value") * 100).cast("long")

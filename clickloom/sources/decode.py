@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.functions.barrier import once
 from clickloom.operators.chain import missing_keys
 from clickloom.schemas import EVENT_AVRO, EVENT_SCHEMA, SOURCE_COLUMNS
 
@@ -13,18 +14,6 @@ CORRUPT = "_corrupt"
 DECODE_REASON = "Deserialization error: "
 
 
-def once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that are computed once per row, whatever is built on them.
-
-    A later filter on plain columns is pushed down with their expressions written out at every use,
-    which here would parse the text dozens of times per row. A filter is not pushed through a
-    generator.
-    """
-    names = list(columns)
-    row = F.struct(*[columns[name].alias(name) for name in names])
-    return df.select("*", F.inline(F.array(row)).alias(*names))
-
-
 def decode_json(raw: DataFrame) -> DataFrame:
     """`value` holds JSON text as bytes. Adds the event columns, `decode_error` and `absent_fields`."""
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
