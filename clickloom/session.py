@@ -25,12 +25,14 @@ STREAM_DEFAULTS = {
 }
 
 
-def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: str = "*", partitions: int = 8, memory: str = "8g", conf: dict[str, str] | None = None,
+) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("clickloom")
                .config("spark.driver.memory", memory)
                .config("spark.ui.enabled", "false")
                .config("spark.sql.shuffle.partitions", str(partitions)))
-    for key, value in DEFAULTS.items():
+    for key, value in {**DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -52,13 +54,12 @@ def prepare_streaming(spark: SparkSession) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; local runs without one get a temporary folder."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     path = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
