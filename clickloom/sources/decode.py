@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from clickloom.functions.barrier import once
 from clickloom.operators.chain import missing_keys
-from clickloom.schemas import EVENT_AVRO, EVENT_SCHEMA, SOURCE_COLUMNS
+from clickloom.schemas import EVENT_AVRO, EVENT_SCHEMA, REQUIRED_FIELDS, SOURCE_COLUMNS
 
 CORRUPT = "_corrupt"
 DECODE_REASON = "Deserialization error: "
@@ -19,12 +19,18 @@ def decode_json(raw: DataFrame) -> DataFrame:
     schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     text = F.when(F.is_valid_utf8("value"), F.col("value").cast("string"))
-    parsed = once(raw.select("value", *SOURCE_COLUMNS), _event=F.from_json(text, schema, options),
-                  _absent=missing_keys(text), _readable=text.isNotNull())
+    parsed = once(raw.select("value", *SOURCE_COLUMNS), _event=F.from_json(text, schema, options))
+    # Which keys are there matters only where a required field came out null.
+    some_null = F.lit(False)
+    for name in REQUIRED_FIELDS:
+        some_null = some_null | F.col(f"_event.{name}").isNull()
+    absent = F.when(some_null, missing_keys(text)).otherwise(F.array().cast("array<string>"))
+    judged = once(parsed, _absent=absent)
+    # No keys at all: not text, or not an object.
     bad = F.col("_absent").isNull() | F.col(f"_event.{CORRUPT}").isNotNull()
-    error = (F.when(~F.col("_readable"), F.lit(DECODE_REASON + "value is not UTF-8 text"))
-             .when(bad, F.lit(DECODE_REASON + "value does not match the event schema")))
-    return parsed.select(
+    error = F.when(bad, F.when(F.is_valid_utf8("value"), F.lit(DECODE_REASON + "value does not match the event schema"))
+                   .otherwise(F.lit(DECODE_REASON + "value is not UTF-8 text")))
+    return judged.select(
         # Fields read before the damage are not kept.
         *[F.when(~bad, F.col(f"_event.{name}")).alias(name) for name in EVENT_SCHEMA.fieldNames()],
         "value", *SOURCE_COLUMNS,
