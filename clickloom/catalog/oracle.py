@@ -371,7 +371,7 @@ SELECT DISTINCT window_type, window_start, count(*) OVER w AS total_windows, (su
 FROM metric WINDOW w AS (PARTITION BY window_type ORDER BY window_start RANGE UNBOUNDED PRECEDING)"""),
     "throughput_between_windows": _with(METRIC + """,
 ends AS (SELECT window_type, window_end, sum(event_count)::BIGINT AS events FROM metric GROUP BY ALL),
-pace AS (SELECT *, (window_end - lag(window_end) OVER (PARTITION BY window_type ORDER BY window_end)) / 1000.0
+pace AS (SELECT *, (sum(events) OVER (PARTITION BY window_type ORDER BY window_end))::BIGINT AS total_events, (window_end - lag(window_end) OVER (PARTITION BY window_type ORDER BY window_end)) / 1000.0
                    AS elapsed_seconds FROM ends)""", """
 SELECT *, coalesce(events / elapsed_seconds, 0.0)::DOUBLE AS events_per_second FROM pace"""),
     "event_type_distribution": _with(METRIC + """,

@@ -19,8 +19,10 @@ def late_events(
     """Events whose window end plus the lateness was not after the newest event time that had
     arrived before them in their source partition."""
     size, late = seconds * 1000, lateness_seconds * 1000
-    carried = with_carry(events, [partition], offset, block_size, {"_carry_ms": ("max", F.col("timestamp"))})
-    before = (Window.partitionBy(partition, BLOCK).orderBy(offset)
+    # Rows without a source partition form one of their own.
+    placed = events.withColumn("_source", F.coalesce(partition, F.lit(-1)))
+    carried = with_carry(placed, ["_source"], offset, block_size, {"_carry_ms": ("max", F.col("timestamp"))})
+    before = (Window.partitionBy("_source", BLOCK).orderBy(offset)
               .rowsBetween(Window.unboundedPreceding, -1))
     seen = carried.withColumn("newest_ms", F.greatest(F.max("timestamp").over(before), F.col("_carry_ms")))
     start = clock.floor_to(F.col("timestamp"), size)
@@ -29,5 +31,5 @@ def late_events(
         .withColumn("window_end", F.col("window_start") + F.lit(size).cast("long"))
         .where(F.col("window_end") + F.lit(late).cast("long") <= F.col("newest_ms"))
         .withColumn("late_by_ms", F.col("newest_ms") - F.col("timestamp"))
-        .drop(BLOCK, "_carry_ms")
+        .drop(BLOCK, "_carry_ms", "_source")
     )

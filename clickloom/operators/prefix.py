@@ -16,9 +16,14 @@ BLOCK = "_block"
 def with_carry(
     df: DataFrame, sequence: list[str], order: str, block_size: int, carries: dict[str, tuple[str, Column]],
 ) -> DataFrame:
-    """Add `_block` and one column per carry: name -> ("sum" | "max", expression); null in the first block."""
+    """Add `_block` and one column per carry: name -> ("sum" | "max", expression); null in the first block.
+
+    The columns in `sequence` and the order column must not hold nulls.
+    """
     step = {"sum": F.sum, "max": F.max}
-    blocked = df.withColumn(BLOCK, F.floor(F.col(order) / F.lit(block_size)))
+    # Never null: no null check is added to one side of the join only, so both sides share a shuffle.
+    block = F.coalesce(F.floor(F.col(order) / F.lit(block_size)), F.lit(0).cast("long"))
+    blocked = df.withColumn(BLOCK, block)
     totals = blocked.groupBy(*sequence, BLOCK).agg(
         *[step[kind](value).alias(name) for name, (kind, value) in carries.items()])
     earlier = Window.partitionBy(*sequence).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)

@@ -87,13 +87,16 @@ def running_totals(metrics: DataFrame) -> DataFrame:
 
 
 def throughput(metrics: DataFrame) -> DataFrame:
-    """Events per second between successive window ends of one kind; 0 for the first one."""
+    """Total events so far and events per second between successive window ends of one kind; 0 for
+    the first one."""
     steps = metrics.groupBy("window_type", "window_end").agg(F.sum("event_count").alias("events"))
-    carried = with_carry(steps, ["window_type"], "window_end", clock.HOUR_MS, {"_carry": ("max", F.col("window_end"))})
+    carried = with_carry(steps, ["window_type"], "window_end", clock.HOUR_MS,
+                         {"_end": ("max", F.col("window_end")), "_events": ("sum", F.col("events"))})
     in_order = Window.partitionBy("window_type", BLOCK).orderBy("window_end")
-    elapsed = (F.col("window_end") - F.coalesce(F.lag("window_end").over(in_order), F.col("_carry"))) / F.lit(1000.0)
-    return (carried.withColumn("elapsed_seconds", elapsed)
-            .select("window_type", "window_end", "events", "elapsed_seconds",
+    elapsed = (F.col("window_end") - F.coalesce(F.lag("window_end").over(in_order), F.col("_end"))) / F.lit(1000.0)
+    total = F.sum("events").over(in_order) + F.coalesce("_events", F.lit(0))
+    return (carried.withColumns({"elapsed_seconds": elapsed, "total_events": total})
+            .select("window_type", "window_end", "events", "total_events", "elapsed_seconds",
                     F.coalesce(F.col("events") / F.col("elapsed_seconds"), F.lit(0.0)).alias("events_per_second")))
 
 

@@ -87,4 +87,19 @@ def test_events_are_combined_before_every_shuffle(stored):
 def test_late_events_are_sorted_in_blocks(stored):
     events = chain.from_stored(stored).selectExpr("*", "cast(event_hour % 6 AS int) AS source_partition", "cast(event_id AS bigint) AS source_offset")
     plan = plan_of(late.late_events(events, 60, 30))
-    assert "windowspecdefinition(source_partition" in plan and re.search(r"windowspecdefinition\(source_partition#\w+, _block", plan)
+    assert re.search(r"windowspecdefinition\(_source#\w+, _block", plan)
+
+
+def executed_plan_of(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan_of(df)
+
+
+def test_shared_work_is_done_once(stored):
+    events = chain.from_stored(stored)
+    both = executed_plan_of(windows.minute_and_revenue_windows(events, Settings()))
+    assert both.partition("== Initial Plan ==")[0].count("ReusedExchange") >= 2
+    for query in [metrics.running_totals, metrics.throughput]:
+        plan = executed_plan_of(query(sessions.session_metrics(events, 1800)))
+        assert "ReusedExchange" in plan.partition("== Initial Plan ==")[0]
