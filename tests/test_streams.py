@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from conftest import T0
@@ -91,16 +92,22 @@ def test_streams_equal_batch(feed, tables, tmp_path):
     assert kinds == {PER_MINUTE, PER_5_MINUTES, SESSION}
 
 
-def test_rows_are_stored_once_and_rejected_rows_kept(feed, tables, tmp_path, spark):
+@pytest.mark.parametrize("unique_by", ["state", "key", "day"])
+def test_rows_are_stored_once_and_rejected_rows_kept(feed, tables, tmp_path, spark, unique_by):
+    settings = Settings(unique_by=unique_by)
     log = ProgressLog(spark, str(tmp_path / "progress"))
     spark.streams.addListener(log)
     try:
         feed.send({}, {"timestamp": 0}, {"user_agent": "Googlebot"}, raw=[b"\xff", b"{"])
         feed.send({"event_id": "e0", "quantity": 7}, {"event_id": "new"}, {"event_id": "new"})
-        finish(jobs.store_rows(feed.events(), tables, str(tmp_path / "state"), S, once=True))
+        finish(jobs.store_rows(feed.events(), tables, str(tmp_path / "state"), settings, once=True))
         # A restart goes on after the last offset.
         feed.send({"event_id": "e0"}, {"event_id": "third"})
-        finish(jobs.store_rows(feed.events(), tables, str(tmp_path / "state"), S, once=True))
+        finish(jobs.store_rows(feed.events(), tables, str(tmp_path / "state"), settings, once=True))
+        # Progress arrives some time after the batch.
+        until = time.time() + 20
+        while len([r for r in log._rows if r[3]]) < 3 and time.time() < until:
+            time.sleep(0.1)
     finally:
         spark.streams.removeListener(log)
     assert sorted((r.event_id, r.quantity) for r in tables.events().collect()) == [("e0", 1), ("new", 1), ("third", 1)]
@@ -171,3 +178,23 @@ def test_repeats_are_dropped(feed, tables, tmp_path):
     good = chain.process(feed.events())
     finish(jobs.store_distinct(good, tables, str(tmp_path / "state"), S, once=True))
     assert sorted(r.event_id for r in tables.events().collect()) == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("unique_by", ["state", "key"])
+def test_an_id_on_another_day_is_a_repeat(feed, tables, tmp_path, unique_by):
+    feed.send({"event_id": "a"})
+    feed.send({"event_id": "a", "timestamp": T0 + 3 * 86_400_000})
+    finish(jobs.store_rows(feed.events(), tables, str(tmp_path / "state"), Settings(unique_by=unique_by), once=True))
+    assert [r.event_timestamp_ms for r in tables.events().collect()] == [T0]
+
+
+def test_a_batch_that_runs_again_changes_nothing(feed, tables, tmp_path):
+    """The write of a batch succeeded, its commit did not."""
+    feed.send({"event_id": "a"}, {"timestamp": 0})
+    state = tmp_path / "state"
+    finish(jobs.store_rows(feed.events(), tables, str(state), Settings(), once=True))
+    commits = sorted((state / "rows" / "commits").glob("[0-9]*"))
+    for path in [*commits, *(state / "rows" / "commits").glob(".*crc")]:
+        path.unlink()
+    finish(jobs.store_rows(feed.events(), tables, str(state), Settings(), once=True))
+    assert tables.events().count() == 1 and tables.dead_letters().count() == 1
