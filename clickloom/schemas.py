@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import types as T
 
 # Event types and the fields every event has to carry.
@@ -104,28 +106,31 @@ TABLE_SCHEMAS = {
 }
 
 
-def avro_schema(schema: T.StructType, name: str, enums: dict[str, list[str]] | None = None) -> str:
-    """The Avro record schema of a table layout, as JSON text."""
-    import json
+# Defaults in the Avro schemas.
+AVRO_DEFAULTS = {"geo_country": "US", "page_views": 0, "add_to_carts": 0, "purchases": 0, "total_revenue_cents": 0,
+                 "top_products": [], "top_categories": []}
+AVRO_TYPES = {"string": "string", "bigint": "long", "int": "int", "array<string>": {"type": "array", "items": "string"}}
+
 
-    plain = {T.StringType(): "string", T.LongType(): "long", T.IntegerType(): "int", T.BooleanType(): "boolean"}
+def avro_schema(schema: T.StructType, name: str, enum: str, symbols: list[str]) -> str:
+    """The Avro record schema of a table layout, as JSON text; `enum` is the column with fixed symbols.
+    Nullable columns become unions with null."""
     fields = []
     for f in schema.fields:
-        if enums and f.name in enums:
-            kind = {"type": "enum", "name": f.name.title().replace("_", ""), "symbols": enums[f.name]}
-        elif isinstance(f.dataType, T.ArrayType):
-            kind = {"type": "array", "items": "string"}
-        else:
-            kind = plain[f.dataType]
-        required = f.name in REQUIRED_FIELDS or not f.nullable or isinstance(f.dataType, T.ArrayType)
-        fields.append({"name": f.name, "type": kind} if required
-                      else {"name": f.name, "type": ["null", kind], "default": None})
+        kind = AVRO_TYPES[f.dataType.simpleString()]
+        if f.name == enum:
+            kind = {"type": "enum", "name": "".join(w.title() for w in enum.split("_")), "symbols": symbols}
+        field = {"name": f.name, "type": ["null", kind] if f.nullable else kind}
+        if f.nullable or f.name in AVRO_DEFAULTS:
+            field["default"] = None if f.nullable else AVRO_DEFAULTS[f.name]
+        fields.append(field)
     return json.dumps({"type": "record", "name": name, "namespace": "com.pipeline.clickstream", "fields": fields})
 
 
-EVENT_AVRO = avro_schema(EVENT_SCHEMA, "ClickstreamEvent", {"event_type": EVENT_TYPES})
+EVENT_AVRO = avro_schema(
+    T.StructType([T.StructField(f.name, f.dataType, f.name not in REQUIRED_FIELDS) for f in EVENT_SCHEMA.fields]),
+    "ClickstreamEvent", "event_type", EVENT_TYPES)
 METRICS_AVRO = avro_schema(
     T.StructType([*[T.StructField(f.name, f.dataType, False) for f in METRICS_SCHEMA.fields],
                   T.StructField("emitted_at", T.LongType(), False)]),
-    "AggregatedMetrics", {"window_type": [PER_MINUTE, PER_5_MINUTES, SESSION]},
-)
+    "AggregatedMetrics", "window_type", [PER_MINUTE, PER_5_MINUTES, SESSION])

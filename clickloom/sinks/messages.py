@@ -5,12 +5,30 @@ Writing to a topic needs the spark-sql-kafka package on the class path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.config import Settings
-from clickloom.operators import dead_letters
-from clickloom.schemas import EVENT_AVRO, EVENT_SCHEMA, METRICS_AVRO, METRICS_COLUMNS
+from clickloom.operators import chain, dead_letters
+from clickloom.schemas import (
+    EVENT_AVRO, EVENT_SCHEMA, EVENT_TYPES, METRICS_AVRO, METRICS_COLUMNS, REQUIRED_FIELDS,
+)
+
+
+def fits_schema() -> Column:
+    """Whether the Avro schema can hold an event: required fields filled, a known event type."""
+    filled = reduce(and_, [F.col(name).isNotNull() for name in REQUIRED_FIELDS])
+    return filled & F.col("event_type").isin(EVENT_TYPES)
+
+
+def split_encodable(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events to publish, and those that cannot be encoded, with a reason for the dead letters."""
+    reason = F.concat(F.lit("Serialization error: "), F.coalesce(F.col("error_reason"), F.lit("value does not fit the schema")))
+    unfit = chain.validate(events.where(~F.coalesce(fits_schema(), F.lit(False)))).withColumn("error_reason", reason)
+    return events.where(fits_schema()), unfit
 
 
 def event_messages(events: DataFrame, encoding: str = "json") -> DataFrame:
