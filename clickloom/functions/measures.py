@@ -22,17 +22,17 @@ def is_type(name: str) -> Column:
 def event_measures() -> list[Column]:
     """The additive measures, from events."""
     return [
-        row_count().alias("event_count"),
-        F.count_if(is_type("page_view")).alias("page_views"),
-        F.count_if(is_type("add_to_cart")).alias("add_to_carts"),
-        F.count_if(is_type("purchase")).alias("purchases"),
-        F.coalesce(F.sum(F.when(is_type("purchase"), F.col("revenue_cents"))), F.lit(0)).alias("total_revenue_cents"),
+        F.expr("count(*) AS event_count"),
+        F.expr("count_if(event_type = 'page_view') AS page_views"),
+        F.expr("count_if(event_type = 'add_to_cart') AS add_to_carts"),
+        F.expr("count_if(event_type = 'purchase') AS purchases"),
+        F.expr("coalesce(sum(IF(event_type = 'purchase', revenue_cents, NULL)), 0) AS total_revenue_cents"),
     ]
 
 
 def summed_measures() -> list[Column]:
     """The additive measures, from rows that already hold them."""
-    return [F.sum(name).alias(name) for name in ADDITIVE]
+    return [F.expr(f"sum({name}) AS {name}") for name in ADDITIVE]
 
 
 def dollars(cents: Column) -> Column:
@@ -48,7 +48,3 @@ def percentage(part: Column, whole: Column, digits: int) -> Column:
     ratio = F.lit(Decimal("100.0")) * part / F.nullif(whole, F.lit(0).cast("long"))
     return F.round(ratio, digits).cast("double")
 
-
-def window_id(*parts: Column) -> Column:
-    """An id that a repeated run computes again."""
-    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))

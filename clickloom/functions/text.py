@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,8 +18,8 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def contains_any(c: Column, needles: list[str]) -> Column:
-    return reduce(or_, [F.contains(c, F.lit(n)) for n in needles])
+def contains_any(column: str, needles: list[str]) -> Column:
+    return F.expr(" OR ".join(f"contains({column}, '{n}')" for n in needles))
 
 
 def payload_text(value: Column) -> Column:

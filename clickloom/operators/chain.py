@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import clock, text
 from clickloom.functions.barrier import once
-from clickloom.functions.measures import is_type
 from clickloom.schemas import EVENT_TYPES, REQUIRED_FIELDS, STORED_COLUMNS
 
 # Parts of a user agent that mark bots and mobile devices.
@@ -22,46 +18,35 @@ BOT_REASON = "Filtered as bot traffic"
 NULL_IS_MISSING = [f for f in REQUIRED_FIELDS if f not in ("event_type", "timestamp", "geo_country")]
 
 
-def _shown(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit("None"))
-
-
-def _listed(names: Column) -> Column:
-    return F.concat(F.lit("Missing required fields: ['"), F.array_join(names, "', '"), F.lit("']"))
+# (what has to hold, reason if it does not) for the values of a row, in order.
+VALUE_RULES = [
+    ("event_type IN ({})".format(", ".join(f"'{t}'" for t in EVENT_TYPES)),
+     "concat('Invalid event_type: ', coalesce(event_type, 'None'))"),
+    (f"timestamp > 0 AND timestamp <= {clock.MAX_MS}",
+     "concat('Invalid timestamp: ', coalesce(CAST(timestamp AS STRING), 'None'))"),
+    ("event_type != 'purchase' OR coalesce(price_cents, 0) >= 0", "concat('Negative price_cents: ', price_cents)"),
+    ("event_type != 'purchase' OR coalesce(quantity, 1) > 0", "concat('Invalid quantity: ', quantity)"),
+    ("event_type != 'purchase' OR try_multiply(coalesce(price_cents, 0), coalesce(quantity, 0)) IS NOT NULL",
+     "concat('Revenue out of range: ', price_cents, ' * ', quantity)"),
+]
 
 
 def missing_keys(json_text: Column) -> Column:
     """Required fields that are not keys of a JSON object, in alphabetical order."""
-    required = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
+    required = F.expr("array({})".format(", ".join(f"'{f}'" for f in REQUIRED_FIELDS)))
     return F.array_except(required, F.json_object_keys(json_text))
 
 
-def missing_reason(absent: Column | None = None) -> Column:
-    """Reason text if a required field is absent or null, else null."""
-    any_null = F.lit(False)
-    for name in NULL_IS_MISSING:
-        any_null = any_null | F.col(name).isNull()
-    nulls = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in NULL_IS_MISSING]))
-    reason = F.when(any_null, _listed(F.array_sort(nulls)))
-    if absent is None:
-        return reason
-    both = F.array_sort(F.array_union(absent, nulls))
-    return F.when(F.size(absent) > 0, _listed(both)).otherwise(reason)
-
-
-def value_rules() -> list[tuple[Column, Column]]:
-    """(what has to hold, reason if it does not) for the values of a row, in order."""
-    ts, price, quantity = F.col("timestamp"), F.col("price_cents"), F.col("quantity")
-    other = F.col("event_type") != "purchase"
-    product = F.try_multiply(F.coalesce(price, F.lit(0)), F.coalesce(quantity, F.lit(0)))
-    return [
-        (F.col("event_type").isin(EVENT_TYPES), F.concat(F.lit("Invalid event_type: "), _shown(F.col("event_type")))),
-        ((ts > 0) & (ts <= clock.MAX_MS), F.concat(F.lit("Invalid timestamp: "), _shown(ts))),
-        (other | (F.coalesce(price, F.lit(0)) >= 0), F.concat(F.lit("Negative price_cents: "), price.cast("string"))),
-        (other | (F.coalesce(quantity, F.lit(1)) > 0), F.concat(F.lit("Invalid quantity: "), quantity.cast("string"))),
-        (other | product.isNotNull(), F.concat(F.lit("Revenue out of range: "), price.cast("string"), F.lit(" * "),
-                                               quantity.cast("string"))),
-    ]
+def missing_reason(with_absent: bool) -> str:
+    """SQL of the reason if a required field is absent or null, else null."""
+    def listed(names: str) -> str:
+        return f"concat('Missing required fields: [\\'', array_join(array_sort({names}), '\\', \\''), '\\']')"
+
+    nulls = ", ".join(f"IF({name} IS NULL, '{name}', NULL)" for name in NULL_IS_MISSING)
+    nulls = f"array_compact(array({nulls}))"
+    any_null = " OR ".join(f"{name} IS NULL" for name in NULL_IS_MISSING)
+    first = f"WHEN size(absent_fields) > 0 THEN {listed(f'array_union(absent_fields, {nulls})')}" if with_absent else ""
+    return f"CASE {first} WHEN {any_null} THEN {listed(nulls)} END"
 
 
 def has_agent(events: DataFrame) -> DataFrame:
@@ -72,7 +57,7 @@ def has_agent(events: DataFrame) -> DataFrame:
 
 
 def is_bot() -> Column:
-    return text.contains_any(F.col("_agent"), BOT_MARKS)
+    return text.contains_any("_agent", BOT_MARKS)
 
 
 def validate(events: DataFrame) -> DataFrame:
@@ -80,24 +65,21 @@ def validate(events: DataFrame) -> DataFrame:
 
     Rows decoded from text bring `decode_error` and `absent_fields`, which come first.
     """
-    absent = F.col("absent_fields") if "absent_fields" in events.columns else None
-    reasons = [missing_reason(absent)]
-    reasons += [F.when(~F.coalesce(holds, F.lit(False)), reason) for holds, reason in value_rules()]
+    reasons = [missing_reason("absent_fields" in events.columns)]
+    reasons += [f"IF(coalesce({holds}, false), NULL, {reason})" for holds, reason in VALUE_RULES]
     if "decode_error" in events.columns:
-        reasons.insert(0, F.col("decode_error"))
-    return events.withColumn("error_reason", F.coalesce(*reasons))
+        reasons.insert(0, "decode_error")
+    return events.withColumn("error_reason", F.expr(f"coalesce({', '.join(reasons)})"))
 
 
 def only_valid(events: DataFrame) -> DataFrame:
     """The rows that `validate` finds nothing wrong with. Plain conditions, which reach the scan."""
-    valid = events.where(reduce(and_, [F.col(name).isNotNull() for name in NULL_IS_MISSING]))
-    for holds, _ in value_rules():
-        valid = valid.where(holds)
+    conditions = [f"{name} IS NOT NULL" for name in NULL_IS_MISSING] + [holds for holds, _ in VALUE_RULES]
     if "absent_fields" in events.columns:
-        valid = valid.where(F.size("absent_fields") == 0)
+        conditions.append("size(absent_fields) = 0")
     if "decode_error" in events.columns:
-        valid = valid.where(F.col("decode_error").isNull())
-    return valid
+        conditions.append("decode_error IS NULL")
+    return events.where(" AND ".join(f"({c})" for c in conditions))
 
 
 def mark_bots(events: DataFrame) -> DataFrame:
@@ -119,12 +101,11 @@ def normalize(events: DataFrame) -> DataFrame:
 
 
 def enrich(events: DataFrame) -> DataFrame:
-    zero = F.lit(0).cast("long")
-    price, quantity = F.coalesce("price_cents", zero), F.coalesce(F.col("quantity").cast("long"), zero)
+    revenue = "IF(event_type = 'purchase', coalesce(price_cents, 0) * coalesce(CAST(quantity AS BIGINT), 0), 0)"
     return has_agent(events).withColumns({
-        "revenue_cents": F.when(is_type("purchase"), price * quantity).otherwise(zero),
+        "revenue_cents": F.expr(revenue),
         "event_hour": clock.hour_of_day(F.col("timestamp")),
-        "is_mobile": text.contains_any(F.col("_agent"), MOBILE_MARKS),
+        "is_mobile": text.contains_any("_agent", MOBILE_MARKS),
     })
 
 

@@ -7,45 +7,46 @@ span divided by the gap, however many events the key has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.config import Settings
 from clickloom.functions import clock
-from clickloom.functions.measures import event_measures, summed_measures, window_id
+from clickloom.functions.measures import event_measures, summed_measures
 from clickloom.schemas import METRICS_COLUMNS, SESSION
 
 KEY = ["user_id", "session_id"]
 
 
 def _islands(events: DataFrame, gap_seconds: int, measures: list[Column]) -> DataFrame:
+    """Slices with the start of the session they belong to; `_start` is set on the first of each."""
     gap = gap_seconds * 1000
-    slices = events.groupBy(*KEY, clock.floor_to(F.col("timestamp"), gap).alias("slice")).agg(
-        F.min("timestamp").alias("first_ms"), F.max("timestamp").alias("last_ms"), *measures)
-    in_order = Window.partitionBy(*KEY).orderBy("slice")
-    pause = F.col("first_ms") - F.lag("last_ms").over(in_order)
-    starts = F.when(F.coalesce(pause > gap, F.lit(True)), F.col("first_ms"))
-    return (slices.withColumn("_start", starts)
-            .withColumn("window_start", F.last("_start", ignorenulls=True).over(in_order)))
+    slices = events.groupBy(*KEY, F.expr(f"timestamp - pmod(timestamp, {gap}L) AS slice")).agg(
+        F.expr("min(timestamp) AS first_ms"), F.expr("max(timestamp) AS last_ms"), *measures)
+    in_order = "OVER (PARTITION BY user_id, session_id ORDER BY slice)"
+    starts = f"CASE WHEN first_ms - lag(last_ms) {in_order} <= {gap} THEN NULL ELSE first_ms END"
+    return (slices.withColumn("_start", F.expr(starts))
+            .withColumn("window_start", F.expr(f"last_value(_start) IGNORE NULLS {in_order}")))
 
 
 def session_rows(sessions: DataFrame) -> DataFrame:
-    """Sessions in the layout of aggregated_metrics."""
-    none = F.array().cast("array<string>")
-    return sessions.withColumns({
-        "window_type": F.lit(SESSION),
-        "window_id": window_id(F.lit(SESSION), F.col("window_start"), *[F.col(c) for c in KEY]),
-        "unique_users": F.lit(1).cast("long"),
-        "top_products": none,
-        "top_categories": none,
-    })
+    """Sessions, one row each with start, end and additive measures, in the layout of
+    aggregated_metrics, after their key columns."""
+    made = {
+        "window_type": f"'{SESSION}' AS window_type",
+        "window_id": f"md5(concat_ws('|', '{SESSION}', window_start, user_id, session_id)) AS window_id",
+        "unique_users": "1L AS unique_users",
+        "top_products": "CAST(array() AS array<string>) AS top_products",
+        "top_categories": "CAST(array() AS array<string>) AS top_categories",
+    }
+    return sessions.selectExpr(*KEY, *[made.get(name, name) for name in METRICS_COLUMNS])
 
 
 def sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
     """One row per session: start, time of the last event, measures, and the key columns."""
     found = _islands(events, gap_seconds, event_measures()).groupBy(*KEY, "window_start").agg(
         F.max("last_ms").alias("window_end"), *summed_measures())
-    return session_rows(found).select(*KEY, *METRICS_COLUMNS)
+    return session_rows(found)
 
 
 def session_metrics(events: DataFrame, gap_seconds: int) -> DataFrame:

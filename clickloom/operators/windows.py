@@ -8,12 +8,12 @@ nor a busy key meets in one task. Stage 2 folds those rows into one row per wind
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.config import Settings
 from clickloom.functions import clock
-from clickloom.functions.measures import event_measures, row_count, summed_measures, window_id
+from clickloom.functions.measures import event_measures, summed_measures
 from clickloom.schemas import METRICS_COLUMNS, PER_5_MINUTES, PER_MINUTE
 
 # Lengths of the two top lists.
@@ -23,19 +23,14 @@ TOP_CATEGORIES = 5
 PRODUCT, CATEGORY = "product", "category"
 
 
-def item_keys() -> Column:
-    """The product and the category of an event as an array of (facet, key)."""
-    def entry(facet: str, column: str) -> Column:
-        return F.struct(F.lit(facet).alias("facet"), F.col(column).alias("key"))
-
-    return F.array(entry(PRODUCT, "product_id"), entry(CATEGORY, "product_category"))
-
-
 def window_start(column: str, seconds: int) -> Column:
     """Start of the window a time lies in. Valid rows have a time, so the start is never null; saying
     so keeps the plans of short and long windows alike, and Spark counts the events for both once."""
-    start = clock.floor_to(F.col(column), seconds * 1000)
-    return F.coalesce(start, F.lit(0).cast("long")).alias("window_start")
+    return F.expr(f"coalesce({column} - pmod({column}, {seconds * 1000}L), 0L) AS window_start")
+
+
+def facet(name: str, column: str) -> str:
+    return f"struct('{name}' AS facet, {column} AS key)"
 
 
 def user_counts(events: DataFrame, seconds: int) -> DataFrame:
@@ -45,10 +40,9 @@ def user_counts(events: DataFrame, seconds: int) -> DataFrame:
 
 def item_counts(events: DataFrame, seconds: int) -> DataFrame:
     """One row per (window_start, facet, key): how often, and when first. Null and blank keys are left out."""
-    items = events.select("timestamp", window_start("timestamp", seconds), F.explode(item_keys()).alias("item")).select(
-        "timestamp", "window_start", "item.facet", "item.key").where(F.col("key") != "")
-    return items.groupBy("window_start", "facet", "key").agg(
-        row_count().alias("n"), F.min("timestamp").alias("first_ms"))
+    facets = F.expr(f"inline(array({facet(PRODUCT, 'product_id')}, {facet(CATEGORY, 'product_category')}))")
+    items = events.select("timestamp", window_start("timestamp", seconds), facets).where("key != ''")
+    return items.groupBy("window_start", "facet", "key").agg(F.expr("count(*) AS n"), F.expr("min(timestamp) AS first_ms"))
 
 
 def coarsen_users(users: DataFrame, seconds: int) -> DataFrame:
@@ -56,44 +50,42 @@ def coarsen_users(users: DataFrame, seconds: int) -> DataFrame:
 
 
 def coarsen_items(items: DataFrame, seconds: int) -> DataFrame:
-    return items.groupBy(window_start("window_start", seconds), "facet", "key").agg(F.sum("n").alias("n"), F.min("first_ms").alias("first_ms"))
+    return items.groupBy(window_start("window_start", seconds), "facet", "key").agg(
+        F.expr("sum(n) AS n"), F.expr("min(first_ms) AS first_ms"))
 
 
 def rank_items(items: DataFrame, k: int) -> DataFrame:
     """The k most frequent keys per window and facet; ties go to the earlier first event, then by key."""
-    order = Window.partitionBy("window_start", "facet").orderBy(F.desc("n"), "first_ms", "key")
-    return items.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    rank = "row_number() OVER (PARTITION BY window_start, facet ORDER BY n DESC, first_ms, key)"
+    return items.withColumn("rank", F.expr(rank)).where(f"rank <= {k}")
 
 
 def top_lists(items: DataFrame) -> DataFrame:
     """One row per window with the arrays top_products and top_categories."""
     ranked = rank_items(items, max(TOP_PRODUCTS, TOP_CATEGORIES))
 
-    def ordered(facet: str, k: int) -> Column:
+    def ordered(facet: str, k: int) -> str:
         # At most k entries per window reach the list: the rows were cut by rank before.
-        entries = F.collect_list(F.when((F.col("facet") == facet) & (F.col("rank") <= k), F.struct("rank", "key")))
-        return F.transform(F.array_sort(entries), lambda e: e["key"])
+        entries = f"collect_list(struct(rank, key)) FILTER (WHERE facet = '{facet}' AND rank <= {k})"
+        return f"transform(array_sort({entries}), e -> e.key)"
 
     return ranked.groupBy("window_start").agg(
-        ordered(PRODUCT, TOP_PRODUCTS).alias("top_products"),
-        ordered(CATEGORY, TOP_CATEGORIES).alias("top_categories"))
+        F.expr(ordered(PRODUCT, TOP_PRODUCTS) + " AS top_products"),
+        F.expr(ordered(CATEGORY, TOP_CATEGORIES) + " AS top_categories"))
 
 
 def fold(users: DataFrame, items: DataFrame, window_type: str, seconds: int) -> DataFrame:
     """Stage 2: rows in the layout of aggregated_metrics."""
-    none = F.array().cast("array<string>")
-    measures = users.groupBy("window_start").agg(row_count().alias("unique_users"), *summed_measures())
-    return (
-        measures.join(top_lists(items), "window_start", "left")
-        .withColumns({
-            "window_type": F.lit(window_type),
-            "window_end": F.col("window_start") + F.lit(seconds * 1000).cast("long"),
-            "window_id": window_id(F.lit(window_type), F.col("window_start")),
-            "top_products": F.coalesce("top_products", none),
-            "top_categories": F.coalesce("top_categories", none),
-        })
-        .select(METRICS_COLUMNS)
-    )
+    measures = users.groupBy("window_start").agg(F.expr("count(*) AS unique_users"), *summed_measures())
+    made = {
+        "window_type": f"'{window_type}' AS window_type",
+        "window_end": f"window_start + {seconds * 1000}L AS window_end",
+        "window_id": f"md5(concat_ws('|', '{window_type}', window_start)) AS window_id",
+        "top_products": "coalesce(top_products, CAST(array() AS array<string>)) AS top_products",
+        "top_categories": "coalesce(top_categories, CAST(array() AS array<string>)) AS top_categories",
+    }
+    joined = measures.join(top_lists(items), "window_start", "left")
+    return joined.selectExpr(*[made.get(name, name) for name in METRICS_COLUMNS])
 
 
 def tumbling(events: DataFrame, seconds: int, window_type: str) -> DataFrame:

@@ -5,13 +5,12 @@ The log has no products, sessions, agents or places; they are derived from its c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions import clock
 from clickloom.functions.barrier import once
-from clickloom.operators.dead_letters import KEEP_NULLS
 from clickloom.schemas import EVENT_SCHEMA, SOURCE_COLUMNS
 
 LOG_SCHEMA = T.StructType([
@@ -35,56 +34,46 @@ def stream_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(LOG_SCHEMA).parquet(f"{sf_dir}/event[s].parquet")
 
 
-def _choice(*pairs: tuple[Column, Column | str | None]) -> Column:
-    result = None
-    for condition, value in pairs:
-        value = value if isinstance(value, Column) else F.lit(value)
-        result = F.when(condition, value) if result is None else result.when(condition, value)
-    return result
+# One event per log row, from the row's number n, its user u, the number k in its props, its time ms,
+# and the event type that the log's own type and k stand for.
+EVENT_TYPE = """
+    CASE type WHEN 'view' THEN 'page_view' WHEN 'signup' THEN 'search' WHEN 'click' THEN
+        CASE WHEN k % 10 < 6 THEN 'add_to_cart' WHEN k % 10 < 8 THEN 'remove_from_cart' ELSE 'wishlist' END
+    ELSE type END"""
+EVENT_COLUMNS = [
+    "CAST(n AS STRING) AS event_id",
+    "event_type",
+    "ms AS timestamp",
+    "concat('user_', lpad(CAST(u AS STRING), 6, '0')) AS user_id",
+    f"concat_ws('_', 'sess', u, ms div {clock.DAY_MS}) AS session_id",
+    "CASE WHEN event_type != 'search' THEN concat('prod_', lpad(CAST(k AS STRING), 5, '0')) END AS product_id",
+    "CASE WHEN priced THEN concat('cat_', k % 10) END AS product_category",
+    "CASE WHEN priced THEN CAST(round(value * 100) AS BIGINT) * IF(n % 97 = 0, -1, 1) END AS price_cents",
+    "CASE WHEN event_type IN ('add_to_cart', 'wishlist', 'purchase') THEN IF(n % 89 = 0, 0, CAST(k % 5 + 1 AS INT)) END"
+    " AS quantity",
+    "CASE WHEN event_type = 'search' THEN concat('  Query ', k, ' ') END AS search_query",
+    "concat_ws('/', 'https://shop.example.com', event_type, k) AS page_url",
+    "CASE WHEN u % 2 = 0 THEN 'https://www.example.org/' END AS referrer",
+    "CASE u % 7 WHEN 0 THEN 'Googlebot/2.1' WHEN 1 THEN 'Mozilla/5.0 (iPhone; CPU iPhone OS 17_3 like Mac OS X)'"
+    " WHEN 2 THEN 'Mozilla/5.0 (Linux; Android 14) Chrome/121.0.0.0 Mobile' WHEN 3 THEN ''"
+    " ELSE 'Mozilla/5.0 (X11; Linux x86_64) Firefox/122.0' END AS user_agent",
+    "concat('10.0.0.', u % 250) AS ip_address",
+    "CASE u % 5 WHEN 0 THEN ' us' WHEN 1 THEN 'GB' WHEN 2 THEN '  ' WHEN 4 THEN 'de' END AS geo_country",
+    "CASE u % 3 WHEN 0 THEN 'Berlin' WHEN 1 THEN 'Paris' END AS geo_city",
+    f"'{TOPIC}' AS source_topic",
+    f"CAST(u % {PARTITIONS} AS INT) AS source_partition",
+    "n AS source_offset",
+]
 
 
 def to_events(log: DataFrame) -> DataFrame:
     """Raw event columns, with source_topic, source_partition and source_offset."""
-    base = once(log.select(
-        F.col("event_id").alias("eid"), F.col("user_id").alias("uid"), "value", "props",
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), F.col("event_type").alias("et"),
-    ), k=F.get_json_object("props", "$.k").cast("long"))
-    eid, uid, k, et = F.col("eid"), F.col("uid"), F.col("k"), F.col("et")
-    click = et == "click"
-    kind = (_choice((et == "view", "page_view"), (et == "signup", "search"), (click & (k % 10 < 6), "add_to_cart"),
-                    (click & (k % 10 < 8), "remove_from_cart"), (click, "wishlist")).otherwise(et))
-    typed = once(base, event_type=kind)
-    t = F.col("event_type")
-    no_price = t.isin("search", "remove_from_cart")
-    price = F.round(F.col("value") * 100).cast("long")
-    agent = (_choice((uid % 7 == 0, "Googlebot/2.1"),
-                     (uid % 7 == 1, "Mozilla/5.0 (iPhone; CPU iPhone OS 17_3 like Mac OS X)"),
-                     (uid % 7 == 2, "Mozilla/5.0 (Linux; Android 14) Chrome/121.0.0.0 Mobile"),
-                     (uid % 7 == 3, "")).otherwise(F.lit("Mozilla/5.0 (X11; Linux x86_64) Firefox/122.0")))
-    return typed.select(
-        eid.cast("string").alias("event_id"),
-        "event_type",
-        F.col("ms").alias("timestamp"),
-        F.concat(F.lit("user_"), F.lpad(uid.cast("string"), 6, "0")).alias("user_id"),
-        F.concat_ws("_", F.lit("sess"), uid.cast("string"),
-                    F.floor(F.col("ms") / F.lit(clock.DAY_MS)).cast("string")).alias("session_id"),
-        F.when(t != "search", F.concat(F.lit("prod_"), F.lpad(k.cast("string"), 5, "0"))).alias("product_id"),
-        F.when(~no_price, F.concat(F.lit("cat_"), (k % 10).cast("string"))).alias("product_category"),
-        F.when(~no_price, F.when(eid % 97 == 0, -price).otherwise(price)).alias("price_cents"),
-        F.when(t.isin("add_to_cart", "wishlist", "purchase"),
-               F.when(eid % 89 == 0, F.lit(0)).otherwise((k % 5 + 1).cast("int"))).alias("quantity"),
-        F.when(t == "search", F.concat(F.lit("  Query "), k.cast("string"), F.lit(" "))).alias("search_query"),
-        F.concat_ws("/", F.lit("https://shop.example.com"), t, k.cast("string")).alias("page_url"),
-        F.when(uid % 2 == 0, F.lit("https://www.example.org/")).alias("referrer"),
-        agent.alias("user_agent"),
-        F.concat(F.lit("10.0.0."), (uid % 250).cast("string")).alias("ip_address"),
-        _choice((uid % 5 == 0, " us"), (uid % 5 == 1, "GB"), (uid % 5 == 2, "  "), (uid % 5 == 4, "de"))
-        .alias("geo_country"),
-        _choice((uid % 3 == 0, "Berlin"), (uid % 3 == 1, "Paris")).alias("geo_city"),
-        F.lit(TOPIC).alias("source_topic"),
-        (uid % PARTITIONS).cast("int").alias("source_partition"),
-        eid.alias("source_offset"),
-    )
+    rows = log.selectExpr("event_id AS n", "user_id AS u", "event_type AS type", "value", "props",
+                          "unix_millis(CAST(ts AS TIMESTAMP)) AS ms")
+    numbered = once(rows, k=F.expr("CAST(get_json_object(props, '$.k') AS BIGINT)"))
+    typed = once(numbered, event_type=F.expr(EVENT_TYPE))
+    priced = "event_type NOT IN ('search', 'remove_from_cart')"
+    return typed.selectExpr(*[c.replace("priced", priced) for c in EVENT_COLUMNS])
 
 
 def to_messages(log: DataFrame) -> DataFrame:
@@ -93,15 +82,12 @@ def to_messages(log: DataFrame) -> DataFrame:
     A row whose number divides by 101 lacks two fields, by 107 the country; by 103 its text is cut in
     half, by 109 it ends in a byte that is not UTF-8.
     """
-    events = to_events(log)
-    n = F.col("source_offset")
-
-    def body(*without: str) -> Column:
-        return F.to_json(F.struct(*[c for c in EVENT_SCHEMA.fieldNames() if c not in without]), KEEP_NULLS)
-
-    text = F.when(n % 101 == 0, body("ip_address", "user_id")).when(n % 107 == 0, body("geo_country")).otherwise(body())
-    whole = once(events.select(*SOURCE_COLUMNS, text.alias("text")), whole=F.col("text"))
-    half = F.substring("whole", F.lit(1), F.floor(F.length("whole") / 2).cast("int"))
-    data = F.encode(F.when(n % 103 == 0, half).otherwise(F.col("whole")), "UTF-8")
-    return whole.select(
-        F.when(n % 109 == 0, F.concat(data, F.unhex(F.lit("FF")))).otherwise(data).alias("value"), *SOURCE_COLUMNS)
+    def body(*without: str) -> str:
+        fields = ", ".join(c for c in EVENT_SCHEMA.fieldNames() if c not in without)
+        return f"to_json(struct({fields}), map('ignoreNullFields', 'false'))"
+
+    text = (f"CASE WHEN source_offset % 101 = 0 THEN {body('ip_address', 'user_id')}"
+            f" WHEN source_offset % 107 = 0 THEN {body('geo_country')} ELSE {body()} END")
+    whole = once(to_events(log).select(*SOURCE_COLUMNS, F.expr(text).alias("text")), whole=F.col("text"))
+    data = "encode(IF(source_offset % 103 = 0, left(whole, length(whole) div 2), whole), 'UTF-8')"
+    return whole.selectExpr(f"concat({data}, IF(source_offset % 109 = 0, X'FF', X'')) AS value", *SOURCE_COLUMNS)

@@ -21,20 +21,17 @@ def decode_json(raw: DataFrame) -> DataFrame:
     text = F.when(F.is_valid_utf8("value"), F.col("value").cast("string"))
     parsed = once(raw.select("value", *SOURCE_COLUMNS), _event=F.from_json(text, schema, options))
     # Which keys are there matters only where a required field came out null.
-    some_null = F.lit(False)
-    for name in REQUIRED_FIELDS:
-        some_null = some_null | F.col(f"_event.{name}").isNull()
+    some_null = F.expr(" OR ".join(f"_event.{name} IS NULL" for name in REQUIRED_FIELDS))
     absent = F.when(some_null, missing_keys(text)).otherwise(F.array().cast("array<string>"))
     judged = once(parsed, _absent=absent)
     # No keys at all: not text, or not an object.
-    bad = F.col("_absent").isNull() | F.col(f"_event.{CORRUPT}").isNotNull()
-    error = F.when(bad, F.when(F.is_valid_utf8("value"), F.lit(DECODE_REASON + "value does not match the event schema"))
-                   .otherwise(F.lit(DECODE_REASON + "value is not UTF-8 text")))
+    bad = f"_absent IS NULL OR _event.{CORRUPT} IS NOT NULL"
+    error = (f"CASE WHEN NOT is_valid_utf8(value) THEN '{DECODE_REASON}value is not UTF-8 text' "
+             f"WHEN {bad} THEN '{DECODE_REASON}value does not match the event schema' END")
     return judged.select(
         # Fields read before the damage are not kept.
-        *[F.when(~bad, F.col(f"_event.{name}")).alias(name) for name in EVENT_SCHEMA.fieldNames()],
-        "value", *SOURCE_COLUMNS,
-        error.alias("decode_error"), F.when(~bad, F.col("_absent")).alias("absent_fields"),
+        *[F.expr(f"IF({bad}, NULL, _event.{name}) AS {name}") for name in EVENT_SCHEMA.fieldNames()],
+        "value", *SOURCE_COLUMNS, F.expr(f"{error} AS decode_error"), F.expr(f"IF({bad}, NULL, _absent) AS absent_fields"),
     )
 
 
