@@ -124,7 +124,7 @@ def avro_schema(schema: T.StructType, name: str, enum: str, symbols: list[str])
         if f.nullable or f.name in AVRO_DEFAULTS:
             field["default"] = None if f.nullable else AVRO_DEFAULTS[f.name]
         fields.append(field)
-    return json.dumps({"type": "record", "name": name, "namespace": "com.pipeline.clickstream", "fields": fields})
+    return json.dumps({"type": "record", "name": name, "namespace": "clickloom", "fields": fields})
 
 
 EVENT_AVRO = avro_schema(
