@@ -89,6 +89,10 @@ def mark_bots(events: DataFrame) -> DataFrame:
 
 
 def filter_bots(events: DataFrame) -> DataFrame:
+    return _people(events).drop("_agent")
+
+
+def _people(events: DataFrame) -> DataFrame:
     return has_agent(events).where(~is_bot())
 
 
@@ -106,7 +110,7 @@ def enrich(events: DataFrame) -> DataFrame:
         "revenue_cents": F.expr(revenue),
         "event_hour": clock.hour_of_day(F.col("timestamp")),
         "is_mobile": text.contains_any("_agent", MOBILE_MARKS),
-    })
+    }).drop("_agent")
 
 
 def checked(events: DataFrame) -> DataFrame:
@@ -124,12 +128,12 @@ def rejected(checked_events: DataFrame) -> DataFrame:
 
 def refine(good: DataFrame) -> DataFrame:
     """Normalize and enrich accepted rows."""
-    return good.transform(normalize).transform(enrich).drop("_agent")
+    return good.transform(normalize).transform(enrich)
 
 
 def process(events: DataFrame) -> DataFrame:
     """The whole chain where only the good rows are wanted: no reasons are worked out."""
-    good = events.transform(only_valid).transform(filter_bots).drop("decode_error", "absent_fields")
+    good = events.transform(only_valid).transform(_people).drop("decode_error", "absent_fields")
     return refine(good)
 
 

@@ -103,3 +103,20 @@ def test_shared_work_is_done_once(stored):
     for query in [metrics.running_totals, metrics.throughput]:
         plan = executed_plan_of(query(sessions.session_metrics(events, 1800)))
         assert "ReusedExchange" in plan.partition("== Initial Plan ==")[0]
+
+
+def test_streams_combine_rows_before_the_shuffle(spark, tmp_path):
+    from clickloom.catalog.queries import stream_good
+    from clickloom.session import prepare_streaming
+    from clickloom.streaming import state
+
+    prepare_streaming(spark)
+    good = stream_good(spark, SF_DIR)
+    for df, combined in [(state.facet_counts(good, 60, 30), "HashAggregate"),
+                         (state.closed_sessions(good, 1800, 30), "MergingSessions")]:
+        query = (df.writeStream.format("noop").option("checkpointLocation", str(tmp_path / combined))
+                 .trigger(availableNow=True).start())
+        query.awaitTermination(120)
+        lines = [re.sub(r"^[\s:+\-|*()\d]*", "", line) for line in query._jsq.explainInternal(False).splitlines()]
+        shuffle = next(n for n, line in enumerate(lines) if line.startswith("Exchange"))
+        assert lines[shuffle + 1].startswith(combined)
