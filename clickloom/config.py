@@ -30,8 +30,9 @@ class Settings:
     starting_offsets: str = "earliest"
     topic_partitions: int = 6
 
-    # Upper bound on what one micro-batch takes from the broker.
+    # Upper bounds on what one micro-batch takes from the broker or from a folder.
     max_offsets_per_trigger: int = 5_000_000
+    files_per_trigger: int = 1_000
     # Read tasks per micro-batch; more than topic partitions, so that a busy partition is split.
     min_read_tasks: int = 64
     # How messages are encoded: "json" or "avro" (needs the spark-avro package).

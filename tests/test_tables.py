@@ -29,14 +29,15 @@ def test_empty_tables(tables):
     assert tables.events().count() == 0 and tables.metrics().count() == 0 and tables.dead_letters().count() == 0
 
 
+@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("scope", ["key", "day"])
-def test_insert_skips_stored_and_repeated_ids(spark, tmp_path, make, scope):
+def test_insert_skips_stored_and_repeated_ids(spark, tmp_path, make, scope, small):
     tables = Tables(spark, str(tmp_path), scope)
     tables.insert(stored(make({"event_id": "a"}, {"event_id": "b", "timestamp": T0 + 86_400_000})), EVENTS)
     batch = stored(make({"event_id": "b", "timestamp": T0 + 86_400_000, "quantity": 9}, {"event_id": "c", "quantity": 3},
                         {"event_id": "c", "quantity": 4}))
-    tables.insert(batch, EVENTS)
-    tables.insert(batch, EVENTS)
+    tables.insert(batch, EVENTS, small=small)
+    tables.insert(batch, EVENTS, small=small)
     assert by_id(tables.events(), "quantity") == {"a": 1, "b": 1, "c": 3}
     assert tables.events().count() == 3
     days = {r.event_date for r in tables.events().select("event_date").collect()}
