@@ -186,12 +186,12 @@ def idempotent_insert(spark, sf_dir):
 def table_constraint_check(spark, sf_dir):
     """Constraints of the three tables; the events are checked with every event sent twice."""
     rows = stored_events(spark, sf_dir)
-    reports_ = [
+    checks = [
         constraints.constraint_report(rows.unionAll(rows), "clickstream_events"),
         constraints.constraint_report(window_metrics(spark, sf_dir), "aggregated_metrics"),
         constraints.constraint_report(dead(spark, sf_dir), "dead_letter_events"),
     ]
-    return reports_[0].unionByName(reports_[1]).unionByName(reports_[2])
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
 
 
 @query
