@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clickloom.llm import toxicity
 from clickloom.llm.common import require
 from clickloom.llm.jaccard_join import jaccard_join
 
@@ -13,8 +15,16 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = require(spark, sf_dir, "documents").select("doc_id", "text")
+    got = toxicity.score(docs, require(spark, sf_dir, "labels"))
+    return got.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+                      "n_exact", "n_misspelled", "n_quoted")
+
+
 QUERIES = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
