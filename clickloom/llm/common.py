@@ -86,7 +86,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
 def small_enough(df: DataFrame, most: int) -> bool:
     """Whether a frame has at most `most` rows: the check before any broadcast."""
-    return df.limit(most + 1).count() <= most
+    return df.count() <= most
 
 
 # Word hashes of whole Arrow batches -------------------------------------------------------------------------
