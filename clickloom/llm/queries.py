@@ -5,16 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import toxicity
+from clickloom.llm import decontamination, mixing, sharding, toxicity
 from clickloom.llm.common import require
 from clickloom.llm.jaccard_join import jaccard_join
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained(require(spark, sf_dir, "documents"), require(spark, sf_dir, "benchmark"), k=5, percent=80)
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = sharding.shard(require(spark, sf_dir, "documents"), shards=16)
+    return got.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = jaccard_join(require(spark, sf_dir, "documents"), k=3, percent=90)
     return got.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = mixing.mix(require(spark, sf_dir, "documents"))
+    return got.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = require(spark, sf_dir, "documents").select("doc_id", "text")
     got = toxicity.score(docs, require(spark, sf_dir, "labels"))
@@ -23,8 +37,26 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_sharding": op2_sharding,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+#: Word shingles of k words, as lists of text: the rule of `decontamination.shingles` without its hashes.
+_SHINGLES = """
+    CASE WHEN len(w) < {k} THEN [] ELSE list_distinct(list_transform(range(1, len(w) - {k} + 2), lambda i: array_to_string(w[i:i + {k} - 1], ' '))) END"""
+_WORDS = "list_filter(regexp_split_to_array({text}, '[\\t\\n\\x0B\\f\\r ]+'), lambda x: x <> '')"
+
+ORACLE: dict[str, str] = {
+    "op1_decontamination": f"""
+WITH i AS (SELECT item_id, {_WORDS.format(text="lower(coalesce(text, ''))")} AS w FROM benchmark),
+it AS (SELECT item_id, {_SHINGLES.format(k=5)} AS s FROM i),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(text="lower(coalesce(text, ''))")} AS w FROM documents),
+ds AS (SELECT r, doc_id, unnest({_SHINGLES.format(k=5)}) AS h FROM d),
+ih AS (SELECT item_id, len(s) AS n_item, unnest(s) AS h FROM it),
+c AS (SELECT r, doc_id, item_id, n_item, count(*) AS n_shared FROM ds JOIN ih USING (h) GROUP BY ALL)
+SELECT doc_id, item_id, n_item, max(n_shared) AS n_shared, max(n_shared) / n_item::DOUBLE AS containment
+FROM c WHERE 100 * n_shared >= 80 * n_item GROUP BY doc_id, item_id, n_item""",
+}
