@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontamination, mixing, sharding, toxicity
+from clickloom.llm import ann, decontamination, mixing, sharding, toxicity
 from clickloom.llm.common import require
 from clickloom.llm.jaccard_join import jaccard_join
 
@@ -36,12 +36,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_exact", "n_misspelled", "n_quoted")
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(require(spark, sf_dir, "embeddings"), query="vec_id % 50 = 0", k=5)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
 }
 
 #: Word shingles of k words, as lists of text: the rule of `decontamination.shingles` without its hashes.
