@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, decontamination, mixing, sharding, toxicity
+from clickloom.llm import ann, decontamination, html_extract, line_dedup, mixing, sharding, toxicity, warc
 from clickloom.llm.common import require
 from clickloom.llm.jaccard_join import jaccard_join
 
@@ -19,11 +19,20 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(require(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_blocks", "n_content")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = jaccard_join(require(spark, sf_dir, "documents"), k=3, percent=90)
     return got.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = warc.archived(require(spark, sf_dir, "pages"), least=0)
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.mix(require(spark, sf_dir, "documents"))
     return got.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -40,13 +49,21 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(require(spark, sf_dir, "embeddings"), query="vec_id % 50 = 0", k=5)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = line_dedup.repeated_lines(require(spark, sf_dir, "documents"), k=5, percent=80)
+    return got.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.array_join("removed", " ").alias("removed"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
+    "op3_html_extraction": op3_html_extraction,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_warc": op6_warc,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_nearest_neighbours": op9_nearest_neighbours,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: Word shingles of k words, as lists of text: the rule of `decontamination.shingles` without its hashes.
@@ -64,4 +81,22 @@ ih AS (SELECT item_id, len(s) AS n_item, unnest(s) AS h FROM it),
 c AS (SELECT r, doc_id, item_id, n_item, count(*) AS n_shared FROM ds JOIN ih USING (h) GROUP BY ALL)
 SELECT doc_id, item_id, n_item, max(n_shared) AS n_shared, max(n_shared) / n_item::DOUBLE AS containment
 FROM c WHERE 100 * n_shared >= 80 * n_item GROUP BY doc_id, item_id, n_item""",
+    "op6_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda j:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, CAST(1 + 5 * (j // 4) AS INT), 5))::INT) >> (15 - 5 * (j % 4))::INT) & 31) + 1, 1)), 'string_agg', '') AS payload_digest FROM p),
+b AS (SELECT payload_digest, max(page_id) AS best FROM d GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> best THEN best END AS refers_to FROM d JOIN b USING (payload_digest)""",
+    "op10_line_dedup": f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS txt, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents),
+w AS (SELECT doc_id, line, {_WORDS.format(text="lower(txt)")} AS w FROM l),
+s AS (SELECT doc_id, line, CASE WHEN len(w) BETWEEN 1 AND 4 THEN ['<' || array_to_string(w, ' ') || '>'] ELSE {_SHINGLES.format(k=5)} END AS s FROM w),
+c AS (SELECT list_sort(s) AS s, min((doc_id, line)) AS f, len(any_value(s)) AS n, row_number() OVER () AS c FROM s WHERE len(s) > 0 GROUP BY list_sort(s)),
+t AS (SELECT c, f, n, unnest(s) AS h FROM c),
+p AS (SELECT x.c FROM t x JOIN t y ON x.h = y.h AND x.f > y.f GROUP BY x.c, y.c, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+g AS (SELECT s.doc_id, s.line FROM s JOIN c ON list_sort(s.s) = c.s WHERE c.c IN (SELECT c FROM p) OR (s.doc_id, s.line) > c.f),
+r AS (SELECT doc_id, count(*) AS n, string_agg(line, ' ' ORDER BY line) AS removed FROM g GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines, coalesce(n, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN r USING (doc_id)""",
 }
