@@ -125,18 +125,12 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-_MEMORY: dict[str, np.ndarray] = {}
+#: Fixed random signs; a token's vector is the row that its hash names.
+_SIGNS = np.random.default_rng(11).choice(np.array([-1.0, 1.0], np.float32), (4096, PATH + WORDS))
 
 
-def _hashed(token: str, size: int) -> np.ndarray:
-    """A fixed vector of signs for a token."""
-    key = f"{size} {token}"
-    if key not in _MEMORY:
-        if len(_MEMORY) > 200_000:
-            _MEMORY.clear()
-        seed = zlib.crc32(token.encode("utf-8", "ignore")) * 2654435761 + size
-        _MEMORY[key] = np.random.default_rng(seed).choice(np.array([-1.0, 1.0], np.float32), size) / np.sqrt(np.float32(size))
-    return _MEMORY[key]
+def _row(token: str) -> int:
+    return zlib.crc32(token.encode("utf-8", "ignore")) & 4095
 
 
 _PATHS: dict[tuple[str, ...], np.ndarray] = {}
@@ -147,21 +141,32 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
         if len(_PATHS) > 50_000:
             _PATHS.clear()
         own = [t for t in path if t not in ("html", "body", "b", "i", "em", "strong", "span", "a", "p")] + list(path[-2:])
-        _PATHS[path] = sum((_hashed(t, PATH) for t in own), np.zeros(PATH, np.float32)) * np.float32(1.5)
+        _PATHS[path] = _SIGNS[[_row(t) for t in own], :PATH].sum(axis=0) * np.float32(1.5 / np.sqrt(PATH))
     return _PATHS[path]
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """One row per block: hashed tag path, hashed words, and six numbers."""
-    out = np.zeros((len(page), SIZE), np.float32)
-    for i, b in enumerate(page):
-        out[i, :PATH] = _path_vector(b.path)
+def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
+    """Per page one row per block: hashed tag path, hashed words, and six numbers."""
+    every = [b for page in pages for b in page]
+    if not every:
+        return [np.zeros((0, SIZE), np.float32) for _ in pages]
+    out = np.empty((len(every), SIZE), np.float32)
+    out[:, :PATH] = np.array([_path_vector(b.path) for b in every])
+    rows, counts = [], []
+    for b in every:
         found = b.text.lower().split(" ", 12)[:12]     # words for the vector only; the text stays whole
-        out[i, PATH:PATH + WORDS] = sum((_hashed(w, WORDS) for w in found), np.zeros(WORDS, np.float32)) / np.sqrt(len(found))
-        n = len(b.text)
-        out[i, PATH + WORDS:] = (np.log1p(n) / 4, min(1.0, b.linked / n), i / len(page), (len(page) - i) / len(page),
-                                 b.text[-1] in ".!?…\"”", np.log1p(b.text.count(",")) / 2)
-    return out
+        rows += [_row(w) for w in found]
+        counts.append(len(found))
+    counts = np.array(counts)
+    begin = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    out[:, PATH:PATH + WORDS] = np.add.reduceat(_SIGNS[rows, PATH:], begin, axis=0) / np.sqrt(WORDS * counts)[:, None]
+    n = np.array([len(b.text) for b in every], np.float32)
+    place = np.concatenate([np.arange(len(p)) for p in pages])
+    size = np.repeat([len(p) for p in pages], [len(p) for p in pages])
+    out[:, PATH + WORDS:] = np.column_stack([
+        np.log1p(n) / 4, np.minimum(1, np.array([b.linked for b in every]) / n), place / size, (size - place) / size,
+        [b.text[-1] in ".!?…\"”" for b in every], np.log1p([b.text.count(",") for b in every]) / 2])
+    return np.split(out, np.cumsum([len(p) for p in pages])[:-1])
 
 
 # Bidirectional LSTM ------------------------------------------------------------------------------------------
@@ -377,8 +382,8 @@ def fitted(sample: list[str], many: int = 500, seed: int = 5) -> Labeller:
     for page, labels in layouts(texts, rng, many):
         found = blocks(page)
         if len(found) == len(labels):
-            made.append((vectors(found), np.array(labels, np.float32)))
-    return train(made)
+            made.append((found, np.array(labels, np.float32)))
+    return train(list(zip(vectors([found for found, _ in made]), [y for _, y in made], strict=True)))
 
 
 def extract(pages: DataFrame, sample: int = 200, most_bytes: int = 50_000) -> DataFrame:
@@ -399,7 +404,7 @@ def extract(pages: DataFrame, sample: int = 200, most_bytes: int = 50_000) -> Da
                 size += len(column[end].as_py() or "")
                 end += 1
             cut = [blocks(page or "") for page in column.slice(begin, end - begin).to_pylist()]
-            for page, content in zip(cut, model.value.label([vectors(page) for page in cut]), strict=True):
+            for page, content in zip(cut, model.value.label(vectors(cut)), strict=True):
                 text = " ".join(b.text for b, yes in zip(page, content, strict=True) if yes)
                 out.append((text, len(text), len(page), int(content.sum())))
             begin = end
