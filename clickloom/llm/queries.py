@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import ann, decontamination, html_extract, line_dedup, mixing, sharding, toxicity, warc
+from clickloom.llm import ann, decontamination, html_extract, langid, line_dedup, mixing, sharding, toxicity, warc
 from clickloom.llm.common import require
 from clickloom.llm.jaccard_join import jaccard_join
 
@@ -23,6 +23,10 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(require(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "n_blocks", "n_content")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(require(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = jaccard_join(require(spark, sf_dir, "documents"), k=3, percent=90)
     return got.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
@@ -58,6 +62,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
     "op3_html_extraction": op3_html_extraction,
+    "op4_language_id": op4_language_id,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_warc": op6_warc,
     "op7_mixing": op7_mixing,
