@@ -173,6 +173,14 @@ def bits(n: int) -> int:
     return max(0, math.ceil(math.log2(max(1, n))))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 def require(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table of the data folder, through Spark's reader."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import small_enough, stored, words
+from clickloom.llm.common import small_enough, stored, unused, words
 
 #: Sketch values and candidates are broadcast up to these many rows (some 40 bytes each), joined by shuffle beyond.
 BROADCAST_ROWS = 500_000
@@ -75,6 +75,7 @@ def contained(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80)
 
 def decontaminated(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents, all columns, without those that contain an item."""
-    bad = stored(contained(docs, items, k, percent).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
+    name = unused(docs, "_bad")
+    bad = stored(contained(docs, items, k, percent).select(F.col("doc_id").alias(name)).distinct(), "contaminated")
     bad = F.broadcast(bad) if small_enough(bad, BROADCAST_ROWS) else bad
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.barrier import once
-from clickloom.llm.common import small_enough, stored, words
+from clickloom.llm.common import small_enough, stored, unused, words
 
 #: Counters of token frequencies (they only decide the order), and the largest count that is told apart.
 COUNTERS, MOST_COUNT = 65_536, (1 << 22) - 1
@@ -124,9 +124,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, k: int, perce
 
 def without_repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents, all columns, their text without repeated lines; a text all of whose lines go is empty."""
+    d, key, gone = (unused(docs, c) for c in ("_d", "_k", "_gone"))
     found = repeated_lines(docs, k, percent).where("size(removed) > 0").dropDuplicates(["doc_id", "key"])
-    found = found.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("removed").alias("_gone"))
-    own = docs.join(found, docs["doc_id"].eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"]) == F.col("_k")), "left")
-    kept = F.expr("array_join(transform(array_except(sequence(0, size(split(text, '\\n', -1)) - 1), _gone), "
-                  "i -> split(text, '\\n', -1)[i]), '\\n')")
-    return own.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).drop("_d", "_k", "_gone")
+    found = found.select(F.col("doc_id").alias(d), F.col("key").alias(key), F.col("removed").alias(gone))
+    own = docs.join(found, F.col("doc_id").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(key)), "left")
+    lines = F.split("text", "\n", -1)
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+    return own.withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(kept)).drop(d, key, gone)

@@ -31,11 +31,11 @@ CLASSES = (1024, 64)
 MOST_PATTERNS = 100_000
 
 
-def targets(sizes: dict[str | None, int], weights: tuple[int, ...], share: Fraction, most: int) -> dict[str | None, Fraction]:
-    """Words per source: `share` of all sizes by weight, at most `most` times a source's size, the excess shared again."""
+def targets(sizes: dict[str | None, int], total: int, weights: tuple[int, ...], share: Fraction, most: int) -> dict[str | None, Fraction]:
+    """Words per source: `share` of `total` by weight, at most `most` times a source's size, the excess shared again."""
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    out, left, open_ = {}, share * sum(sizes.values()), list(names)
+    out, left, open_ = {}, share * total, list(names)
     while open_:
         unit = left / sum(weight[s] for s in open_)
         above = [s for s in open_ if unit * weight[s] > most * sizes[s]]
@@ -156,7 +156,8 @@ def mix(
 ) -> DataFrame:
     """One row per document: doc_id, size, pattern, source_size, target, copies, taken, and the key `_key` of its text.
 
-    sources: SQL for the array of sources that hold a document. source_size and target are those of its first
+    sources: SQL for the array of sources that hold a document. They share `share` of the words of all documents, a
+    document of several sources counted once. source_size and target are those of its first
     source by name. taken = copies * size.
     """
     spark = docs.sparkSession
@@ -172,7 +173,7 @@ def mix(
     for p, n in capacity.items():
         for s in p:
             held[s] = held.get(s, 0) + n
-    target = targets(held, weights, share, most)
+    target = targets(held, sum(capacity.values()), weights, share, most)
     routed = flow(capacity, {s: int(t + Fraction(1, 2)) for s, t in target.items()}, most)
     goals = {p: 0 for p in capacity}
     for (p, _), copies in routed.items():

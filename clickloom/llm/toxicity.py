@@ -9,7 +9,8 @@ over the counts of each term and of quoted and misspelled matches, fitted on the
 Results for odd input: null, empty or wordless text has no matches and the score of a text without any. Null
 doc_id: scored, held_out is null. Repeated rows: scored each. Labels that are null or not 0 or 1 are not
 learned; a document with both labels counts as toxic. No toxic row to learn from: every score is 0. Empty table: no rows.
-Columns other than doc_id and text are kept by `score` and never read.
+Columns other than doc_id and text are kept and never
+read; those named like results are replaced.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import unused
+
 WORD = re.compile(r"[^\W_]+")
 #: Fixed: marks that open or close a quotation.
 QUOTES = "\"“”„‟«»「」『』"
@@ -230,13 +233,23 @@ def learn(rows: list[tuple[str, int]], ratio: float = 8.0, support: float = 0.02
     x, y = np.concatenate(found), np.array(y)
     x = np.column_stack([np.ones(len(x)), np.log1p(x)])
     penalty = np.diag([0.01, *[0.3] * (x.shape[1] - 1)])
-    w = np.zeros(x.shape[1])
-    for _ in range(60):  # Newton steps of the penalised likelihood
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
-        w = w + np.clip(step, -3, 3)
-        if np.abs(step).max() < 1e-8:
-            break
+
+    def fit(w: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        for _ in range(60):  # Newton steps of the penalised likelihood
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ (w - prior))
+            w = w + np.clip(step, -3, 3)
+            if np.abs(step).max() < 1e-8:
+                break
+        return w
+
+    prior = np.zeros(x.shape[1])
+    w = fit(prior, prior)
+    if terms:
+        # Where the sample says little of them, a misspelled match counts half as much as a term, a quotation takes a quarter off.
+        usual = max(0.0, float(w[1:-3].mean()))
+        prior[-3:] = -usual / 4, usual / 2, -usual / 8
+        w = fit(w, prior)
     model.weights = w
     return model
 
@@ -279,6 +292,6 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 1500, most_bytes:
             ["score", "n_exact", "n_misspelled", "n_quoted"])
 
     added = ["held_out", "score", "n_exact", "n_misspelled", "n_quoted"]
-    return (docs.drop(*added, "_tox").withColumn("_tox", scored("text"))
-            .withColumn("held_out", F.expr("crc32(cast(doc_id as string)) % 4 = 2"))
-            .select("*", "_tox.*").drop("_tox"))
+    docs, found = docs.drop(*added), unused(docs, "_found")
+    return (docs.withColumn(found, scored("text")).withColumn("held_out", F.expr("crc32(cast(doc_id as string)) % 4 = 2"))
+            .select("*", f"{found}.*").drop(found))

@@ -1,0 +1,312 @@
+"""Operators on documents against brute force, and their results for odd rows."""
+
+from __future__ import annotations
+
+import collections
+import re
+import zlib
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import types as T
+
+import corpus_pipeline
+from clickloom.llm import decontamination, langid, line_dedup, mixing, sharding, toxicity
+from clickloom.llm.jaccard_join import jaccard_join
+
+DATA = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+                       T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
+LONG = " ".join(f"long{i}" for i in range(30_000))
+ODD = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "   \n\t ", "en", None, 5), (4, LONG, None, "a", None), (5, LONG, "en", "b", 1),
+       (None, "no id here at all, only words that follow", "en", "b", 3), (7, "two words", "en", "b", 3), (7, "two words", "en", "b", 3),
+       (8, "x" * 300_000, "en", "c", 1), (9, "émigré ÀÉ 😀".encode("utf-16", "surrogatepass").decode("utf-16"), "fr", "c", 1)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def clashing(df):
+    """The frame with columns named like results and like the operators' own columns."""
+    for name in ("score", "shard", "size", "token", "key", "hub", "node", "_found", "_bad", "_d", "class", "cid"):
+        df = df.selectExpr("*", f"'x' as {name}")
+    return df
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def shingles(ws, k):
+    return {tuple(ws[i:i + k]) for i in range(len(ws) - k + 1)} if len(ws) >= k else {tuple(ws)} if ws else set()
+
+
+def brute_components(rows, k, percent):
+    """Smallest id of each id's component, by comparing every two."""
+    sets = {i: shingles(words(text), k) for i, text in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}, sets
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_join_equals_brute_force(docs, k, percent):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want, sets = brute_components(rows, k, percent)
+    got = {r.doc_id: r for r in jaccard_join(docs, k, percent).collect()}
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert {i: r.n_shingles for i, r in got.items()} == {i: len(s) for i, s in sets.items()}
+
+
+def test_jaccard_join_of_near_copies_keeps_every_link(spark):
+    """Copies with one or two changed words: components as by brute force, whatever hub is chosen."""
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(90):
+        ws = list(base)
+        for j in range(i % 4):
+            ws[(7 * i + 13 * j) % 60] = f"e{i}_{j}"
+        rows.append((i, " ".join(ws)))
+    want, _ = brute_components(rows, 3, 90)
+    got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 3, 90, counter_bits=12)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+
+
+def test_jaccard_join_of_odd_rows(odd, empty):
+    got = collections.defaultdict(list)
+    for r in jaccard_join(clashing(odd)).collect():
+        got[r.doc_id].append(r)
+    assert [got[i][0].n_shingles for i in (1, 2, 3, 4, 5, 7, 8)] == [0, 0, 0, 29_998, 29_998, 1, 1]
+    assert [got[i][0].component_id for i in (1, 2, 3, 4, 5, 7, 8, 9)] == [1, 2, 3, 4, 4, 7, 8, 9]
+    assert len(got[7]) == 2
+    assert got[None][0].component_id is None
+    assert jaccard_join(empty).count() == 0
+
+
+def test_decontamination_of_odd_rows(spark, odd, empty):
+    items = spark.createDataFrame([(1, "only words that follow here and more words"), (2, None), (3, "two words"), (4, LONG[:200]),
+                                   (5, LONG[:200]), (None, "Long7 long8 long9 long10 long11"), (6, "no id here at all, only words")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_shared, r.n_item) for r in decontamination.contained(clashing(odd), items).collect()}
+    n = len(words(LONG[:200])) - 4
+    assert got[4, 4][1] == got[5, 5][1] == n
+    assert set(got) == {(d, i) for d in (4, 5) for i in (4, 5, None)} | {(None, 6)}
+    left = decontamination.decontaminated(clashing(odd), items)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 2, 3, 7, 7, 8, 9]
+    assert left.columns == clashing(odd).columns
+    assert decontamination.contained(empty, items).count() == 0
+    assert decontamination.contained(odd, items.limit(0)).count() == 0
+
+
+def test_decontamination_finds_items_with_some_changed_words(spark):
+    item = [f"q{i}" for i in range(50)]
+    near, far = list(item), list(item)
+    near[20] = "other"
+    for i in (3, 13, 23, 33, 43):
+        far[i] = "other"
+    filler = [f"f{i}" for i in range(3000)]
+    rows = [(1, " ".join(filler + near + filler)), (2, " ".join(filler + far + filler)), (3, " ".join(filler))]
+    got = decontamination.contained(spark.createDataFrame(rows, "doc_id long, text string"),
+                                    spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.n_shared, r.n_item) for r in got] == [(1, 9, 41, 46)]
+
+
+def test_sharding_law_and_groups(docs, odd, empty):
+    rows = sharding.shard(docs.unionByName(docs.limit(40)), shards=16).collect()
+    sizes = collections.Counter(r.shard for r in rows)
+    assert max(sizes.values()) - min(sizes.get(s, 0) for s in range(16)) <= 1
+    slots = collections.defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    text = {r.doc_id: r.text for r in docs.collect()}
+    assert all(r.size == len(text[r.doc_id].encode()) + 1 and r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) for r in rows)
+    held = collections.defaultdict(set)
+    for r in rows:
+        held[text[r.doc_id]].add(r.shard)
+    assert all(len(s) == 1 for s in held.values())
+    own = sharding.shard(clashing(odd), shards=16).collect()
+    assert len(own) == len(ODD) and {r.size for r in own if r.doc_id in (1, 2)} == {1}
+    assert sharding.shard(empty).count() == 0
+
+
+def test_sharding_splits_a_group_larger_than_a_shard(spark):
+    rows = [(i, "same" if i < 300 else f"t{i}") for i in range(480)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=4).collect()
+    assert sorted(collections.Counter(r.shard for r in got).values()) == [120] * 4
+    held = collections.Counter(r.shard for r in got if r.doc_id < 300)
+    assert sorted(held.values())[-2:] == [120, 120]
+
+
+def test_targets_and_flow():
+    got = mixing.targets({"a": 100, "b": 1000, None: 1000}, 2100, (5, 2, 1), Fraction(3, 2), 2)
+    assert got["a"] == 200 and got[None] * 2 == got["b"] and sum(got.values()) == 3150
+    # Shared words go where nothing else is left, and repeats come last.
+    taken = mixing.flow({("a",): 50, ("a", "b"): 100, ("b",): 10}, {"a": 120, "b": 60}, 2)
+    assert sum(sum(v) for (_, s), v in taken.items() if s == "a") == 120
+    assert sum(sum(v) for (_, s), v in taken.items() if s == "b") == 60
+    assert sum(v[0] for v in taken.values()) == 160 and sum(v[1] for v in taken.values()) == 20
+
+
+def test_mixing_meets_its_targets(docs, odd, empty):
+    rows = mixing.mix(docs).collect()
+    assert sorted(r.asDict()["doc_id"] for r in rows) == sorted(r.doc_id for r in docs.collect())
+    taken, target, largest = collections.Counter(), {}, collections.Counter()
+    for r in rows:
+        s = r.pattern[0]
+        taken[s] += r.taken
+        target[s] = r.target
+        largest[s] = max(largest[s], r.size)
+        assert r.taken in (0, r.size, 2 * r.size)
+    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1 for s in target)
+    again = {r.doc_id: r.taken for r in mixing.mix(docs.repartition(7)).collect()}
+    assert again == {r.doc_id: r.taken for r in rows}
+    own = mixing.mix(clashing(odd)).collect()
+    assert len(own) == len(ODD) and {r.size for r in own if r.doc_id in (1, 2, 3)} == {0}
+    assert mixing.mix(empty).count() == 0
+
+
+def test_mixing_of_overlapping_sources(spark):
+    rows = [(i, "w " * 10, ["a"] if i < 40 else ["a", "b"] if i < 60 else ["b"]) for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, in array<string>")
+    got = mixing.mix(docs, sources="in", weights=(1, 1), share=Fraction(1, 1)).collect()
+    assert abs(sum(r.taken for r in got) - 700) <= 20
+
+
+def test_line_dedup_of_odd_rows(spark, odd, empty):
+    got = {r.doc_id: r for r in line_dedup.repeated_lines(clashing(odd)).collect()}
+    assert [got[i].n_lines for i in (1, 2, 3)] == [0, 1, 2]
+    assert got[4].removed == [] and got[5].removed == [0] and got[3].removed == []
+    assert got[7].removed == []  # repeated rows stand at the same place
+    assert line_dedup.repeated_lines(empty).count() == 0
+    line = " ".join(f"a{i}" for i in range(40))
+    rows = [(1, f"{line}\nx\n\ny z"), (2, f"{line} tail\nX\n{line}"), (3, "y  z")]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = line_dedup.without_repeated_lines(df)
+    assert {r.doc_id: r.text for r in left.collect()} == {1: f"{line}\nx\n\ny z", 2: "", 3: ""}
+    assert left.columns == df.columns
+
+
+def test_automaton_accepts_what_edit_distance_does():
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    terms = [("idiot", False), ("worthless", False), ("scum", False), ("lostra", True)]
+    model = toxicity.Model(*toxicity.automaton(terms), clean=frozenset(), terms=len(terms), weights=None, window=50)
+    tried = ["idiot", "idiots", "idot", "1diot", "iidiott", "worthles", "worhtless", "wrthlss", "wthlss", "scum", "scums", "lostraxyz", "lostrxy", "lstraab", "los", "plain"]
+    got = {w: (e, terms[t][0]) for _, _, w, e, t in toxicity.matches(model, [" ".join(tried)])}
+    for word in tried:
+        want = [(distance(word, t), t) for t, stem in terms if not stem and distance(word, t) <= toxicity.allowed(t)]
+        want += [(min(distance(word[:i], t) for i in range(len(word) + 1)), t) for t, stem in terms if stem]
+        want = [x for x in want if x[0] <= toxicity.allowed(x[1])]
+        assert got.get(word) == (min(want) if want else None), word
+
+
+def test_quotation_marks_around_a_match():
+    assert toxicity.quoted('he said "you idiot" twice', 13, 5, 50)
+    assert not toxicity.quoted('he said "hello" you idiot', 20, 5, 50)
+
+
+def test_toxicity_learns_misspellings_and_odd_rows(spark, odd, empty):
+    rows, labels = [], []
+    for i in range(240):
+        bad = i % 3 == 0
+        rows.append((i, f"some words number {i} " + (("badword nastyone " if i % 2 else "awfulthing badword ") if bad else "kind words ") + f"end {i * 7}"))
+        labels.append((i, int(bad)))
+    rows += [(1000, "such a badwrd here"), (1001, "kind words"), (1002, None), (1003, "")]
+    docs = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
+    labels = spark.createDataFrame(labels + [(5000, None), (None, 1)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    assert all((got[i].score >= 0.3) == (i % 3 == 0) for i in range(240))
+    assert got[1000].n_misspelled == 1 and got[1000].score > 2 * got[1001].score
+    assert got[1002].score == got[1003].score == got[1001].score
+    assert got[0].held_out == (zlib.crc32(b"0") % 4 == 2)
+    none = toxicity.score(odd, labels.limit(0)).collect()
+    assert len(none) == len(ODD) and {r.score for r in none} == {0.0}
+    assert toxicity.score(empty, labels).count() == 0
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [r for r in toxicity.score(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+           .select("doc_id", "held_out", "score").collect() if r.held_out and labels.get(r.doc_id) is not None]
+    caught = sum(r.score >= 0.3 for r in got if labels[r.doc_id] == 1)
+    false = sum(r.score >= 0.3 for r in got if labels[r.doc_id] == 0)
+    assert caught >= 0.8 * sum(labels[r.doc_id] for r in got) and false <= 0.02 * len(got)
+
+
+def test_language_of_held_out_and_odd_rows(spark, odd, empty):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = [(r.lang_pred == r.lang) for r in langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()]
+    assert sum(got) >= 0.95 * len(got)
+    own = {r.doc_id: r for r in langid.identify(clashing(odd)).collect()}
+    assert own[1].lang_pred == own[2].lang_pred == own[3].lang_pred == "und" and own[1].score == 0
+    assert own[9].lang_pred in ("en", "fr") and 0 <= own[9].score <= 1
+    assert own[None].held_out is None
+    assert langid.identify(empty).count() == 0
+
+
+def test_language_is_not_learned_from_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    changed = docs.selectExpr("doc_id", "text", "if(crc32(cast(doc_id as string)) % 4 = 2, 'zz', lang) as lang")
+    assert sorted(langid.identify(docs).collect()) == sorted(langid.identify(changed).collect())
+
+
+def test_pipeline_stages(spark):
+    sf, docs = DATA, spark.read.parquet(f"{DATA}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        before = [r.doc_id for r in docs.select("doc_id").collect()]
+        docs = stage(spark, docs, sf).persist()
+        after = collections.Counter(r.doc_id for r in docs.select("doc_id").collect())
+        assert set(after) <= set(before)
+        if name != "sharding":
+            assert docs.columns == corpus_pipeline.COLUMNS
+        if name == "near_duplicates":
+            want, sets = brute_components([(i, text[i]) for i in before], 5, 80)
+            assert set(after) == {i for i in before if want[i] == i or not sets[i]}
+        if name == "decontamination":
+            items = [shingles([w.lower() for w in WORD.findall(r.text.lower())], 5) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+            leaks = {i for i in before if any(len(s & shingles(WORD.findall(text[i].lower()), 5)) >= 0.8 * len(s) for s in items)}
+            assert set(before) - set(after) == leaks
+        if name == "mixing":
+            assert set(after.values()) <= {1, 2}
+    assert corpus_pipeline.run(spark, sf).count() == docs.count()
+
+
+def test_pipeline_of_odd_rows(spark, odd, empty, tmp_path):
+    for frame in (odd, empty):
+        docs = clashing(frame)
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, DATA)
+        docs.collect()
