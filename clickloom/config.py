@@ -38,13 +38,10 @@ class Settings:
     # How messages are encoded: "json" or "avro" (needs the spark-avro package).
     encoding: str = "json"
 
-    # Where a row stream looks for an event id it has stored already.
-    # "state": in the state of the query, one lookup per row; exact as long as the stream is the only
-    # writer of the table. "key": in the whole table. "day": in the part of the table within the time
-    # range of the incoming rows; exact as long as a repeated event id repeats its timestamp as well.
-    unique_by: str = "state"
     # Files a micro-batch writes at most per day.
     files_per_batch: int = 16
+    # Buckets of event ids in the stored layout; must not change while the table lives.
+    id_buckets: int = 16
 
     @classmethod
     def from_session(cls, spark: SparkSession) -> Settings:

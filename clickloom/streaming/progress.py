@@ -21,10 +21,11 @@ PROGRESS_SCHEMA = T.StructType([
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects one small row per micro-batch and appends them to a parquet table every `every` rows."""
+    """Collects one small row per micro-batch; `flush`, called by the job and not in the callback, appends them to a
+    parquet table."""
 
-    def __init__(self, spark: SparkSession, path: str, every: int = 100) -> None:
-        self.spark, self.path, self.every = spark, path, every
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
         self._rows: list[tuple] = []
         self._lock = threading.Lock()
 
@@ -45,9 +46,6 @@ class ProgressLog(StreamingQueryListener):
         )
         with self._lock:
             self._rows.append(row)
-            full = len(self._rows) >= self.every
-        if full:
-            self.flush()
 
     def onQueryTerminated(self, event) -> None:
         pass

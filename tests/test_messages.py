@@ -53,12 +53,12 @@ def test_avro_schemas():
 def test_settings_from_the_session(spark):
     assert Settings.from_session(spark) == Settings()
     spark.conf.set("spark.clickloom.minute_seconds", "30")
-    spark.conf.set("spark.clickloom.unique_by", "key")
+    spark.conf.set("spark.clickloom.encoding", "avro")
     try:
-        assert Settings.from_session(spark) == Settings(minute_seconds=30, unique_by="key")
+        assert Settings.from_session(spark) == Settings(minute_seconds=30, encoding="avro")
     finally:
         spark.conf.unset("spark.clickloom.minute_seconds")
-        spark.conf.unset("spark.clickloom.unique_by")
+        spark.conf.unset("spark.clickloom.encoding")
 
 
 def test_topic_options():

@@ -92,9 +92,8 @@ def test_streams_equal_batch(feed, tables, tmp_path):
     assert kinds == {PER_MINUTE, PER_5_MINUTES, SESSION}
 
 
-@pytest.mark.parametrize("unique_by", ["state", "key", "day"])
-def test_rows_are_stored_once_and_rejected_rows_kept(feed, tables, tmp_path, spark, unique_by):
-    settings = Settings(unique_by=unique_by)
+def test_rows_are_stored_once_and_rejected_rows_kept(feed, tables, tmp_path, spark):
+    settings = Settings()
     log = ProgressLog(spark, str(tmp_path / "progress"))
     spark.streams.addListener(log)
     try:
@@ -180,11 +179,10 @@ def test_repeats_are_dropped(feed, tables, tmp_path):
     assert sorted(r.event_id for r in tables.events().collect()) == ["a", "b", "c"]
 
 
-@pytest.mark.parametrize("unique_by", ["state", "key"])
-def test_an_id_on_another_day_is_a_repeat(feed, tables, tmp_path, unique_by):
+def test_an_id_on_another_day_is_a_repeat(feed, tables, tmp_path):
     feed.send({"event_id": "a"})
     feed.send({"event_id": "a", "timestamp": T0 + 3 * 86_400_000})
-    finish(jobs.store_rows(feed.events(), tables, str(tmp_path / "state"), Settings(unique_by=unique_by), once=True))
+    finish(jobs.store_rows(feed.events(), tables, str(tmp_path / "state"), Settings(), once=True))
     assert [r.event_timestamp_ms for r in tables.events().collect()] == [T0]
 
 
@@ -198,3 +196,35 @@ def test_a_batch_that_runs_again_changes_nothing(feed, tables, tmp_path):
         path.unlink()
     finish(jobs.store_rows(feed.events(), tables, str(state), Settings(), once=True))
     assert tables.events().count() == 1 and tables.dead_letters().count() == 1
+
+
+def test_rejected_rows_of_no_topic_are_all_kept(feed, tables, tmp_path):
+    feed.send(*[{"timestamp": 0}] * 4, {"event_id": "a"})
+    feed.send(*[{"timestamp": 0}] * 3)
+    events = feed.events().withColumns({"source_topic": F.lit(None).cast("string"), "source_partition": F.lit(None).cast("int"),
+                                        "source_offset": F.lit(None).cast("long")})
+    finish(jobs.store_rows(events, tables, str(tmp_path / "state"), Settings(), once=True))
+    assert tables.dead_letters().count() == 7 and tables.events().count() == 1
+
+
+def test_a_stateful_micro_batch_runs_at_full_width(feed, spark, tmp_path):
+    """As many tasks as state partitions fill the batch, in every micro-batch, although few files are written."""
+    tables = Tables(spark, str(tmp_path / "store"), files_per_batch=1)
+    for part in range(2):
+        feed.send(*random_rows(part, 60, T0 + part * 400_000))
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        widths = []
+
+        def write(found, kind):
+            widths.append(found.sparkSession.sparkContext.getLocalProperty("spark.jobGroup.id") or "")
+            tables.insert(found.select(METRICS_COLUMNS), "aggregated_metrics", kind, distinct=True, small=True)
+
+        query = jobs.session_metrics(chain.process(feed.events()), write, str(tmp_path / "state"), S, once=True)
+        finish(query)
+        tracker = spark.sparkContext.statusTracker()
+        state_stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(j).stageIds]
+        tasks = [s.numTasks for s in state_stages if s is not None]
+        assert len(widths) >= 2 and tasks.count(6) >= 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

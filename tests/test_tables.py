@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 import pytest
 from conftest import T0, by_id
+from pyspark.sql import functions as F
 
 from clickloom.operators import chain, constraints
 from clickloom.operators.dedupe import first_per_key
@@ -30,9 +32,8 @@ def test_empty_tables(tables):
 
 
 @pytest.mark.parametrize("small", [False, True])
-@pytest.mark.parametrize("scope", ["key", "day"])
-def test_insert_skips_stored_and_repeated_ids(spark, tmp_path, make, scope, small):
-    tables = Tables(spark, str(tmp_path), scope)
+def test_insert_skips_stored_and_repeated_ids(spark, tmp_path, make, small):
+    tables = Tables(spark, str(tmp_path))
     tables.insert(stored(make({"event_id": "a"}, {"event_id": "b", "timestamp": T0 + 86_400_000})), EVENTS)
     batch = stored(make({"event_id": "b", "timestamp": T0 + 86_400_000, "quantity": 9}, {"event_id": "c", "quantity": 3},
                         {"event_id": "c", "quantity": 4}))
@@ -50,6 +51,26 @@ def test_an_id_is_unique_whatever_its_day(make, tables):
     assert tables.events().count() == 1
 
 
+def test_a_small_batch_reads_ids_of_its_buckets_without_a_shuffle_of_the_table(make, tables):
+    tables.append(stored(make(*[{"event_id": f"s{i}"} for i in range(200)])), EVENTS)
+    batch = stored(make({"event_id": "s1"}, {"event_id": "n"})).persist()
+    new = tables.new_rows(batch, EVENTS, small=True)
+    plan = new._jdf.queryExecution().toString()
+    scan = re.search(r"FileScan parquet.*?PartitionFilters: \[(.*?)\].*?ReadSchema: struct<(.*?)>", plan[plan.index("Physical Plan"):])
+    assert "id_bucket" in scan.group(1) and scan.group(2) == "event_id:string"
+    assert [r.event_id for r in new.collect()] == ["n"]
+    batch.unpersist()
+
+
+def test_dead_letters_without_a_position_are_all_kept(spark, make, tables):
+    rejected = envelope(chain.rejected(chain.checked(make(*[{"timestamp": 0}] * 5, {"timestamp": -1}))))
+    unplaced = rejected.withColumn("source_offset", F.lit(None).cast("long"))
+    tables.insert(unplaced, DEAD_LETTERS)
+    tables.insert(rejected.unionByName(unplaced), DEAD_LETTERS, small=True)
+    assert tables.dead_letters().where("source_offset IS NULL").count() == 12
+    assert tables.dead_letters().count() == 12 + rejected.select("source_partition", "source_offset").distinct().count()
+
+
 def test_dead_letters_are_stored_once(make, tables):
     rejected = envelope(chain.rejected(chain.checked(make({"timestamp": 0}, {"timestamp": -1}))))
     tables.insert(rejected, DEAD_LETTERS)
