@@ -172,6 +172,10 @@ METRIC = (GOOD + "," + tumbling("per_minute", "events_per_minute", MINUTE) + ","
 metric AS (
   FROM per_minute UNION ALL FROM per_five UNION ALL SELECT * EXCLUDE (user_id, session_id) FROM per_session)""")
 
+# The same of the messages that pass.
+KEPT_METRIC = JUDGED + f""",
+good AS ({processed("judged")}),""" + METRIC[len(GOOD) + 1:]
+
 NEWEST = '(SELECT max("timestamp") FROM good)'
 UTC = "strftime(make_timestamp({} * 1000000), '%Y-%m-%d %H:%M:%S')"
 
@@ -284,8 +288,9 @@ SELECT {STORED}, source_offset FROM good WHERE "timestamp" >= 1705363200000"""),
     ])),
     "keyed_publish": _with(EVENTS, f"SELECT user_id AS key, {_json()} AS value FROM event"),
     "metrics_publish": _with(METRIC, """
-SELECT window_type AS key, window_id, event_count,
-       to_json(CASE WHEN top_categories = '' THEN [] ELSE string_split(top_categories, ',') END)::VARCHAR AS top_categories
+SELECT window_type AS key, * REPLACE (
+       to_json(CASE WHEN top_products = '' THEN [] ELSE string_split(top_products, ',') END)::VARCHAR AS top_products,
+       to_json(CASE WHEN top_categories = '' THEN [] ELSE string_split(top_categories, ',') END)::VARCHAR AS top_categories)
 FROM metric"""),
     "q01_events_over_time": _with(GOOD, over_time(HOUR, MINUTE)),
     "q01_events_per_second": _with(GOOD, over_time(DAY, 1_000)),
@@ -410,5 +415,16 @@ kept AS ({processed("judged")})""", """
 SELECT 'events' AS table_name, event_type AS label, count(*) AS n, sum(revenue_cents)::BIGINT AS revenue_cents
 FROM kept GROUP BY 2
 UNION ALL SELECT 'dead_letters', error_reason, count(*), 0::BIGINT FROM judged WHERE error_reason IS NOT NULL GROUP BY 2"""),
+    "load_then_stream": _with(JUDGED + f""",
+kept AS ({processed("judged")})""", """
+SELECT 'events' AS table_name, event_id AS row_key, event_type AS label FROM kept
+UNION ALL SELECT 'dead_letters', source_topic || ':' || source_partition || ':' || source_offset, error_reason
+FROM judged WHERE error_reason IS NOT NULL"""),
+    "loaded_metrics": _with(KEPT_METRIC, "FROM metric"),
+    "unplaced_dead_letters": _with(LETTERS, """
+SELECT original_payload, error_reason, NULL::VARCHAR AS source_topic, NULL::INTEGER AS source_partition, NULL::BIGINT AS source_offset
+FROM letter, range(2)"""),
+    "stream_then_restate": _with(KEPT_METRIC, f"""
+SELECT * FROM metric WHERE window_end + {LATE} + CASE WHEN window_type = 'session_summary' THEN {GAP} ELSE 0 END <= {NEWEST}"""),
     "stream_dedupe": _with(GOOD, f"SELECT {STORED} FROM good"),
 }

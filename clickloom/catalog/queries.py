@@ -9,9 +9,10 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom import jobs as batch
 from clickloom.config import Settings
 from clickloom.functions import clock
 from clickloom.operators import chain, constraints, dead_letters, late, windows
@@ -19,12 +20,12 @@ from clickloom.operators import sessions as session_ops
 from clickloom.operators.dedupe import first_per_key, not_stored
 from clickloom.plans import metrics, reports
 from clickloom.schemas import (
-    EVENT_SCHEMA, METRICS_COLUMNS, PER_5_MINUTES, PER_MINUTE, SOURCE_COLUMNS, STORED_COLUMNS,
+    EVENT_SCHEMA, METRICS_COLUMNS, METRICS_SCHEMA, PER_5_MINUTES, PER_MINUTE, SOURCE_COLUMNS, STORED_COLUMNS,
 )
 from clickloom.session import fresh_dir, prepare
 from clickloom.sinks import messages
-from clickloom.sinks.tables import Tables
-from clickloom.sources import activity_log, decode
+from clickloom.sinks.tables import DEAD_LETTERS, Tables
+from clickloom.sources import activity_log, decode, topics
 from clickloom.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,9 +74,9 @@ def window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.all_window_metrics(good_events(spark, sf_dir), SETTINGS)
 
 
-def newest_ms(good: DataFrame) -> int:
-    """The newest event time: one number."""
-    return good.agg(F.max("timestamp")).first()[0]
+def newest_ms(good: DataFrame) -> Column:
+    """The newest event time, a subquery of one row in the plan that uses it."""
+    return good.agg(F.max("timestamp")).scalar()
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -202,9 +203,12 @@ def keyed_publish(spark, sf_dir):
 @query
 def metrics_publish(spark, sf_dir):
     sent = messages.metric_messages(window_metrics(spark, sf_dir))
-    return sent.select("key", F.get_json_object("value", "$.window_id").alias("window_id"),
-                       F.get_json_object("value", "$.event_count").cast("long").alias("event_count"),
-                       F.get_json_object("value", "$.top_categories").alias("top_categories"))
+    def field(name: str, kind: str) -> Column:
+        found = F.get_json_object("value", f"$.{name}")
+        return (found if kind.startswith("array") else found.cast(kind)).alias(name)
+
+    # All fields but the time of sending.
+    return sent.select("key", *[field(f.name, f.dataType.simpleString()) for f in METRICS_SCHEMA.fields])
 
 
 # --- reports ------------------------------------------------------------------------------------------
@@ -464,6 +468,72 @@ def stream_rows(spark, sf_dir):
         letters.select(F.lit("dead_letters").alias("table_name"), "*"))
 
 
+def message_files(spark: SparkSession, sf_dir: str, path: str, parts: int, in_time: bool = True) -> None:
+    """The damaged messages as `parts` files, one after another by position. With `in_time` False every 211th comes late."""
+    rows = activity_log.to_messages(activity_log.read_log(spark, sf_dir))
+    n = F.col("source_offset")
+    arrival = n if in_time else F.when(n % 211 == 0, n + ARRIVAL_DELAY).otherwise(n)
+    last = activity_log.read_log(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    for part in range(parts):
+        low, high = part * (last + 1) // parts, (part + 1) * (last + 1) // parts
+        found = rows.where(arrival >= low)
+        found = found if part == parts - 1 else found.where(arrival < high)
+        found.coalesce(1).write.mode("append").parquet(path)
+
+
+@query
+def load_then_stream(spark, sf_dir):
+    """The messages loaded, streamed again in three micro-batches and their dead letters replayed: every row once."""
+    root = fresh_dir(spark, "load-then-stream")
+    tables, messages_ = Tables(spark, f"{root}/tables"), f"{root}/messages"
+    message_files(spark, sf_dir, messages_, 3)
+    batch.load(spark, tables, SETTINGS, messages_)
+    events = decode.decode_json(topics.stream_files(spark, messages_, 1))
+    _run(jobs.store_rows(events, tables, f"{root}/state", SETTINGS, once=True))
+    batch.replay(tables, SETTINGS)
+    letters = tables.dead_letters().select(F.lit("dead_letters").alias("table_name"), F.concat_ws(":", *SOURCE_COLUMNS).alias("row_key"),
+                                           F.col("error_reason").alias("label"))
+    return letters.unionByName(tables.events().select(
+        F.lit("events").alias("table_name"), F.col("event_id").alias("row_key"), F.col("event_type").alias("label")))
+
+
+@query
+def loaded_metrics(spark, sf_dir):
+    """The aggregates after three loads, each of which computes again only what its rows touch."""
+    root = fresh_dir(spark, "loads")
+    tables = Tables(spark, f"{root}/tables")
+    for part in range(3):
+        rows = activity_log.to_messages(activity_log.read_log(spark, sf_dir).where(F.col("event_id") % 3 == part))
+        rows.write.parquet(f"{root}/messages-{part}")
+        batch.load(spark, tables, SETTINGS, f"{root}/messages-{part}")
+    return flat(tables.metrics().select(METRICS_COLUMNS))
+
+
+@query
+def unplaced_dead_letters(spark, sf_dir):
+    """Rejected messages that came from no topic, stored twice over: none is lost."""
+    tables = Tables(spark, fresh_dir(spark, "unplaced"))
+    letters = dead(spark, sf_dir).withColumns({c: F.lit(None).cast(k) for c, k in dead(spark, sf_dir).select(*SOURCE_COLUMNS).dtypes})
+    for _ in range(2):
+        tables.insert(letters, DEAD_LETTERS)
+    return tables.dead_letters().select("original_payload", "error_reason", *SOURCE_COLUMNS)
+
+
+@query
+def stream_then_restate(spark, sf_dir):
+    """Messages in five micro-batches, some of them late, and what was too late repaired: the closed windows and sessions."""
+    root = fresh_dir(spark, "restate")
+    tables, messages_ = Tables(spark, f"{root}/tables"), f"{root}/messages"
+    message_files(spark, sf_dir, messages_, 5, in_time=False)
+    events = decode.decode_json(topics.stream_files(spark, messages_, 1))
+    started = [jobs.store_rows(events, tables, f"{root}/state", SETTINGS, once=True),
+               *jobs.all_metrics(chain.process(events), jobs.metrics_to_table(tables), f"{root}/state", SETTINGS, once=True)]
+    for query_ in started:
+        _run(query_)
+    batch.restate_late(tables, SETTINGS)
+    return flat(tables.metrics().select(METRICS_COLUMNS))
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     """Every event sent twice, stored once."""
