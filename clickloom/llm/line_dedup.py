@@ -54,20 +54,20 @@ def _within(x: str, y: str, percent: int) -> str:
 def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, key, n_lines, removed): per document its number of lines and the numbers, from 0, of those to remove."""
     lines = _lines(docs)
-    counts = (lines.select(F.explode(F.expr(tokens("txt", k))).alias("h")).groupBy(F.pmod("h", F.lit(COUNTERS)).cast("int").alias("b"))
+    counts = (lines.select(F.explode(F.expr(tokens("txt", k))).alias("h")).groupBy(F.expr(f"cast(h & {COUNTERS - 1} as int)").alias("b"))
               .count().collect())  # at most COUNTERS rows
     often = {r["b"]: min(r["count"], MOST_COUNT) for r in counts}
-    table = F.split(F.lit(",".join(str(often.get(b, 0)) for b in range(COUNTERS))), ",").cast("array<int>")
+    # One number per token that sorts by rarity: the count above, 41 bits of the hash below.
+    table = F.split(F.lit(",".join(str(often.get(b, 0) << 41) for b in range(COUNTERS))), ",").cast("array<bigint>")
 
     def ranked_token(h):
-        """Count above, 41 bits of the hash below: one number that sorts by rarity."""
-        count = F.get(table, F.pmod(h, F.lit(COUNTERS)).cast("int")).cast("long")
-        return F.shiftleft(count, 41).bitwiseOR(F.shiftrightunsigned(h, 23))
+        return F.get(table, h.bitwiseAND(F.lit(COUNTERS - 1).cast("long")).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 23))
 
     sets = once(lines, t=F.array_distinct(F.expr(tokens("txt", k)))).where("size(t) > 0")
-    sets = sets.select("doc_id", "key", "line", F.size("t").alias("n"), F.xxhash64(F.sort_array("t")).alias("class"),
-                       F.sort_array(F.transform("t", ranked_token)).alias("order"))
-    sets = stored(sets.select("doc_id", "key", "line", "n", "class",
+    sets = sets.select("doc_id", "key", "line", F.size("t").alias("n"), F.sort_array(F.transform("t", ranked_token)).alias("order"),
+                       F.expr("if(size(t) = 1, t[0], 0L)").alias("single"))
+    # The sorted numbers name the set; a set of one token needs its whole hash for that.
+    sets = stored(sets.select("doc_id", "key", "line", "n", F.xxhash64("order", "single").alias("class"),
                               F.expr(f"slice(order, 1, n - cast(ceil({percent} * n / 100) as int) + 1)").alias("prefix")), "lines")
 
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line")
