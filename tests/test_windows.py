@@ -25,33 +25,33 @@ def minute(make, *rows, seconds=60, kind=PER_MINUTE):
 
 
 def test_same_window(make):
-    found = minute(make, *[{"timestamp": T0 + i * 1000, "user_id": f"u{i}"} for i in range(5)])
-    assert [(r.event_count, r.unique_users, r.window_type) for r in found] == [(5, 5, PER_MINUTE)]
+    found = minute(make, *[{"timestamp": T0 + i * 4_500, "user_id": f"u{i % 4}"} for i in range(7)])
+    assert [(r.event_count, r.unique_users, r.window_type) for r in found] == [(7, 4, PER_MINUTE)]
     assert found[0].window_start == T0 // 60_000 * 60_000 and found[0].window_end == found[0].window_start + 60_000
 
 
 def test_two_windows_and_exclusive_end(make):
-    assert len(minute(make, {"timestamp": T0}, {"timestamp": T0 + 61_000})) == 2
+    assert len(minute(make, {"timestamp": T0 - 40_000}, {"timestamp": T0}, {"timestamp": T0 + 150_000})) == 3
     start = T0 // 60_000 * 60_000
     found = minute(make, {"timestamp": start}, {"timestamp": start + 59_999}, {"timestamp": start + 60_000})
     assert [r.event_count for r in found] == [2, 1]
 
 
 def test_revenue_and_types(make):
-    found = minute(make, purchase(1000), purchase(2500), purchase(5000), seconds=300, kind=PER_5_MINUTES)
-    assert [(r.total_revenue_cents, r.purchases) for r in found] == [(8500, 3)]
-    found = minute(make, {}, {}, {"event_type": "add_to_cart"}, purchase(1000))
-    assert [(r.page_views, r.add_to_carts, r.purchases, r.event_count) for r in found] == [(2, 1, 1, 4)]
+    found = minute(make, purchase(310), purchase(45), purchase(620, quantity=2), purchase(7), seconds=300, kind=PER_5_MINUTES)
+    assert [(r.total_revenue_cents, r.purchases) for r in found] == [(1602, 4)]
+    found = minute(make, {}, {"event_type": "add_to_cart"}, purchase(45), {"event_type": "wishlist"}, {"event_type": "add_to_cart"})
+    assert [(r.page_views, r.add_to_carts, r.purchases, r.event_count) for r in found] == [(1, 2, 1, 5)]
 
 
 def test_unique_users(make):
-    assert minute(make, {"user_id": "A"}, {"user_id": "A"}, {"user_id": "B"})[0].unique_users == 2
+    assert minute(make, *[{"user_id": u} for u in ("kim", "lee", "kim", "max", "lee", "kim")])[0].unique_users == 3
 
 
 def test_top_lists(make):
-    found = minute(make, *[{"product_id": "popular"}] * 5, {"product_id": "rare"})
-    assert found[0].top_products == ["popular", "rare"]
-    assert found[0].top_categories == ["Electronics"]
+    found = minute(make, {"product_id": "hose"}, *[{"product_id": "spade"}] * 3, *[{"product_id": "seeds"}] * 2)
+    assert found[0].top_products == ["spade", "seeds", "hose"]
+    assert found[0].top_categories == ["Garden"]
     # Ties go to the key that was seen first; blank and null keys are left out.
     found = minute(make, {"product_id": "b", "timestamp": T0 + 5}, {"product_id": "a", "timestamp": T0 + 9},
                    {"product_id": "c", "timestamp": T0 + 5}, {"product_id": ""}, {"product_id": None})
@@ -99,13 +99,13 @@ def found_sessions(make, *rows, gap=1800):
 
 
 def test_one_session(make):
-    found = found_sessions(make, *[{"timestamp": T0 + i * 1000} for i in range(5)])
+    found = found_sessions(make, *[{"timestamp": T0 + i * 700_000} for i in range(4)])
     assert [(r.event_count, r.window_start, r.window_end, r.window_type, r.unique_users, r.top_products) for r in found] == [
-        (5, T0, T0 + 4000, SESSION, 1, [])]
+        (4, T0, T0 + 2_100_000, SESSION, 1, [])]
 
 
-def test_three_users(make):
-    assert len(found_sessions(make, *[{"user_id": u} for u in "ABC"])) == 3
+def test_users_have_sessions_of_their_own(make):
+    assert [r.event_count for r in found_sessions(make, *[{"user_id": u} for u in ("lee", "kim", "lee", "max", "lee")])] == [1, 3, 1]
 
 
 def test_session_ids_of_one_user(make):
