@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import ann, decontamination, html_extract, langid, line_dedup, mixing, sharding, toxicity, warc
-from clickloom.llm.common import require
+from clickloom.llm.common import LOWER, UPPER, require
 from clickloom.llm.jaccard_join import jaccard_join
 
 
@@ -29,7 +29,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = jaccard_join(require(spark, sf_dir, "documents"), k=3, percent=90)
-    return got.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+    return got.select("doc_id", "n_shingles", "component_id")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +86,17 @@ ih AS (SELECT item_id, len(s) AS n_item, unnest(s) AS h FROM it),
 c AS (SELECT r, doc_id, item_id, n_item, count(*) AS n_shared FROM ds JOIN ih USING (h) GROUP BY ALL)
 SELECT doc_id, item_id, n_item, max(n_shared) AS n_shared, max(n_shared) / n_item::DOUBLE AS containment
 FROM c WHERE 100 * n_shared >= 80 * n_item GROUP BY doc_id, item_id, n_item""",
+    "op5_ngram_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(text=f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) BETWEEN 1 AND 2 THEN ['<' || array_to_string(w, ' ') || '>'] ELSE {_SHINGLES.format(k=3)} END AS s FROM d),
+c AS (SELECT s, len(s) AS n, min(doc_id) AS c FROM s WHERE len(s) > 0 GROUP BY s),
+t AS (SELECT c, n, unnest(s) AS h FROM c),
+l AS (SELECT x.c AS a, y.c AS b FROM t x JOIN t y ON x.h = y.h AND x.c <> y.c GROUP BY x.c, y.c, x.n, y.n
+      HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+r AS (SELECT c AS a, c AS b FROM c UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(component_id, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.s = c.s LEFT JOIN m ON m.a = c.c""",
     "op6_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda j:
