@@ -28,6 +28,11 @@ def payload_text(value: Column) -> Column:
         F.replace(F.base64(value), F.lit("\r\n"), F.lit("")))
 
 
+def payload_bytes(payload: Column, is_text: Column) -> Column:
+    """The bytes that `payload_text` has shown: of a text itself, else what the base64 stands for."""
+    return F.when(is_text, F.encode(payload, "UTF-8")).otherwise(F.try_to_binary(payload, F.lit("base64")))
+
+
 def reason_class(reason: Column) -> Column:
     """The part of a reason before its values."""
     return F.substring_index(reason, ":", 1)

@@ -12,6 +12,7 @@ from clickloom.schemas import EVENT_AVRO, EVENT_SCHEMA, REQUIRED_FIELDS, SOURCE_
 
 CORRUPT = "_corrupt"
 DECODE_REASON = "Deserialization error: "
+NOT_TEXT = DECODE_REASON + "value is not UTF-8 text"
 
 
 def decode_json(raw: DataFrame) -> DataFrame:
@@ -26,7 +27,7 @@ def decode_json(raw: DataFrame) -> DataFrame:
     judged = once(parsed, _absent=absent)
     # No keys at all: not text, or not an object.
     bad = f"_absent IS NULL OR _event.{CORRUPT} IS NOT NULL"
-    error = (f"CASE WHEN NOT is_valid_utf8(value) THEN '{DECODE_REASON}value is not UTF-8 text' "
+    error = (f"CASE WHEN NOT is_valid_utf8(value) THEN '{NOT_TEXT}' "
              f"WHEN {bad} THEN '{DECODE_REASON}value does not match the event schema' END")
     return judged.select(
         # Fields read before the damage are not kept.
