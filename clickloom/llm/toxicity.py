@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import unused
+from clickloom.llm.common import smallest, unused
 
 WORD = re.compile(r"[^\W_]+")
 #: Fixed: marks that open or close a quotation.
@@ -258,9 +258,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, most_bytes: int)
     """Labelled rows to learn from: of each class those with the smallest hashes, none that is held out."""
     labels = (labels.where("toxic in (0, 1) and crc32(cast(doc_id as string)) % 4 != 2")
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = (labels.where("toxic = 1").orderBy(*order).limit(per_class)
-           .union(labels.where("toxic = 0").orderBy(*order).limit(2 * per_class)))
+    ids = smallest(labels.where("toxic = 1"), ["doc_id"], per_class).union(smallest(labels.where("toxic = 0"), ["doc_id"], 2 * per_class))
     ids = ids.select(F.col("doc_id").alias("_id"), "toxic")
     rows = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes)
     # At most 3 * per_class ids are broadcast and as many rows collected.
