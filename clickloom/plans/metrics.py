@@ -163,6 +163,12 @@ def sink_batches(events: DataFrame, batch_rows: int, flush_seconds: float) -> Da
     return (per_interval.select("interval_start", F.inline(sizes)).where(F.col("batches") > 0))
 
 
+def micro_batch_sizes(progress: DataFrame, bounds: list[int] | None = None) -> DataFrame:
+    """Histogram of the rows that each micro-batch of the row stream read, from the progress of the streams."""
+    read = progress.where("query = 'rows' AND input_rows > 0")
+    return batch_size_histogram(read.groupBy(F.col("input_rows").alias("batch_size")).agg(row_count().alias("batches")), bounds)
+
+
 def batch_size_histogram(batches: DataFrame, bounds: list[int] | None = None) -> DataFrame:
     """Cumulative counts of batches up to each bound, with their number and summed size."""
     bounds = bounds or BATCH_SIZE_BOUNDS
