@@ -21,15 +21,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that 5-word shingles link at 0.8 or more, the one with the smallest doc_id.
 
-    Documents without words and without doc_id stay. Repeated rows of one doc_id count as copies: one stays.
+    Documents without words and without doc_id stay. Rows that share a doc_id stay or go together, equal ones as one.
     """
     docs = docs.select(COLUMNS)
     groups = jaccard_join(docs, k=5, percent=80)
     keep = groups.where("n_shingles = 0 or doc_id = component_id or component_id is null")
     keep = keep.select(F.col("doc_id").alias("_keep")).distinct()
     kept = docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_keep")), "left_semi")
-    # Only a doc_id that several rows carry can still have copies; texts without words are no copies.
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_twice"))
+    if repeated.isEmpty():
+        return kept
     twice = kept.join(repeated, kept["doc_id"].eqNullSafe(F.col("_twice")), "left_semi")
     once = kept.join(repeated, kept["doc_id"].eqNullSafe(F.col("_twice")), "left_anti")
     return once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
