@@ -25,6 +25,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python workers take texts in batches of so many rows, unless the session says how many: texts may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(rows))
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
@@ -117,7 +124,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(column: pa.Array, most: int = 1 << 21):
+def slices(column: pa.Array, most: int = 1 << 20):
     """Cut a string column into (first row, bytes, offsets) of about `most` bytes; a longer text is whole."""
     column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import smallest, unused
+from clickloom.llm.common import small_batches, smallest, unused
 
 WORD = re.compile(r"[^\W_]+")
 #: Fixed: marks that open or close a quotation.
@@ -270,6 +270,7 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 1500, most_bytes:
 
     Learns from at most `per_class` toxic and twice as many other rows, of at most `most_bytes` bytes each.
     """
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(learn(sample(docs, labels, per_class, most_bytes)))
 
     @F.arrow_udf("struct<score: double, n_exact: long, n_misspelled: long, n_quoted: long>")

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import small_enough, stored
+from clickloom.llm.common import small_batches, small_enough, stored
 from clickloom.session import fresh_dir
 
 #: Fixed: the alphabet of RFC 4648 base 32.
@@ -263,6 +263,7 @@ def read(normal: DataFrame, with_payload: bool = False) -> DataFrame:
 
 def archived(pages: DataFrame, least: int = 0, folder: str | None = None) -> DataFrame:
     """Write, normalise and read back: one row per page, the payload's size and digest resolved for revisits."""
+    small_batches(pages.sparkSession)
     folder = folder or fresh_dir(pages.sparkSession, "warc")
     normal = normalise(write(typed(pages, least), f"{folder}/streams"), f"{folder}/members")
     rows = stored(read(normal).drop("payload"), "records")
