@@ -9,10 +9,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from clickloom.catalog.oracle import ORACLE
+from clickloom.catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 SPARK_TO_SQL = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF_DIR).exists(), reason="no test data")
 
@@ -32,8 +33,9 @@ def in_order(rows):
     return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
