@@ -1,7 +1,7 @@
 """Main text of HTML pages by a recurrent block labeller.
 
 A page is cut into leaf blocks, the stretches of text between block-level tags. A block's vector hashes its tag path
-(names, classes, ids and roles of the open tags), its words, and holds its length, share of links and place. A bidirectional
+(names, classes, ids and roles of the open tags), the mean of all its words, and holds its length, share of links and place. A bidirectional
 LSTM in numpy reads the whole sequence of a page's blocks in both directions and labels every block with what
 the page before and after it shows. The text of a page is that of its content blocks.
 
@@ -33,11 +33,13 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body button canvas ca
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p
 pre section select summary table tbody td tfoot th thead title tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = "script|style|noscript|template|iframe|object|svg|math|textarea|select|title"
+SKIPPED = "script|style|noscript|template|iframe|object|svg|textarea|select|title"
 CLOSES_P = BLOCK_TAGS - {"button", "caption", "option", "optgroup", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot"}
 
+#: A skipped name ends at white space, "/" or ">", so that <svg-icon> is a tag like others; <svg/> has no content to skip.
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<({SKIPPED})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
+    rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    rf"|<({SKIPPED})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 NAMED = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -89,6 +91,8 @@ def blocks(page: str) -> list[Block]:
             if name == "hr":
                 flush()
             continue
+        if name == "math" and not token[2] and token[4].endswith("/"):
+            continue
         block = name in BLOCK_TAGS
         if token[2]:
             if block:
@@ -116,7 +120,7 @@ def blocks(page: str) -> list[Block]:
         names = [name]
         if token[4]:
             for a, b, c in NAMED.findall(token[4]):
-                names += [f".{p}" for p in PARTS.findall((a or b or c).lower())][:8]
+                names += [f".{p}" for p in PARTS.findall((a or b or c).lower())]
             if HIDDEN.search(token[4]):
                 names.append(".hidden")
         stack.append((name, tuple(names)))
@@ -147,6 +151,37 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
     return _PATHS[path]
 
 
+def _word_means(texts: list[str], most: int = 400_000) -> np.ndarray:
+    """Per text the mean of the vectors of all its words; some `most` letters at a time are cut into words."""
+    sums, counts = np.zeros((len(texts), WORDS), np.float32), np.zeros(len(texts), np.int64)
+    rows, sizes, owners, letters = [], [], [], 0
+
+    def add():
+        nonlocal letters
+        begin = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+        np.add.at(sums, owners, np.add.reduceat(_SIGNS[rows, PATH:], begin, axis=0))
+        np.add.at(counts, owners, sizes)
+        rows.clear(), sizes.clear(), owners.clear()
+        letters = 0
+
+    for i, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            end = text.find(" ", at + most)
+            end = len(text) if end < 0 else end
+            found = text[at:end].lower().split(" ")
+            rows += map(_row, found)
+            sizes.append(len(found))
+            owners.append(i)
+            letters += end - at
+            at = end + 1
+            if letters >= most:
+                add()
+    if rows:
+        add()
+    return sums / (np.sqrt(WORDS) * counts)[:, None]
+
+
 def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
     """Per page one row per block: hashed tag path, hashed words, and six numbers."""
     every = [b for page in pages for b in page]
@@ -154,14 +189,7 @@ def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
         return [np.zeros((0, SIZE), np.float32) for _ in pages]
     out = np.empty((len(every), SIZE), np.float32)
     out[:, :PATH] = np.array([_path_vector(b.path) for b in every])
-    rows, counts = [], []
-    for b in every:
-        found = b.text.lower().split(" ", 12)[:12]     # words for the vector only; the text stays whole
-        rows += [_row(w) for w in found]
-        counts.append(len(found))
-    counts = np.array(counts)
-    begin = np.concatenate([[0], np.cumsum(counts)[:-1]])
-    out[:, PATH:PATH + WORDS] = np.add.reduceat(_SIGNS[rows, PATH:], begin, axis=0) / np.sqrt(WORDS * counts)[:, None]
+    out[:, PATH:PATH + WORDS] = _word_means([b.text for b in every])
     n = np.array([len(b.text) for b in every], np.float32)
     place = np.concatenate([np.arange(len(p)) for p in pages])
     size = np.repeat([len(p) for p in pages], [len(p) for p in pages])

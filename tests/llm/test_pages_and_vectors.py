@@ -35,6 +35,25 @@ def test_blocks_of_odd_markup():
     assert path == ("div", ".side", ".bar", ".x", ".1", "p")
 
 
+def test_nothing_is_cut_at_tags_that_begin_like_skipped_ones():
+    cut = lambda inner: [b.text for b in html_extract.blocks(f"<article><p>one</p>{inner}<p>two</p></article>")]
+    for tag in ("svg-icon", "object-view", "title-bar", "style-guide", "math-field"):
+        assert cut(f'<{tag} name="x"></{tag}>') == ["one", "two"]
+    for empty in ('<svg class="i"/>', "<svg/>", '<svg title="a/>b" />', "<math/>", "<svg><path d='x'/>no</svg>", "<script>no</script >"):
+        assert cut(empty) == ["one", "two"]
+    assert cut("<p>so <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn></math> holds</p>") == ["one", "so x=2 holds", "two"]
+
+
+def test_vectors_read_all_words_and_names():
+    path = html_extract.blocks('<div class="col-md-4 col-sm-12 col-xs-12 sidebar"><p>t')[0].path
+    assert path == ("div", *".col .md .4 .col .sm .12 .col .xs .12 .sidebar".split(), "p")
+    same = " ".join(f"w{i}" for i in range(12))
+    x = html_extract.vectors([html_extract.blocks(f"<p>{same} cookies</p><p>{same} letters</p>")])[0][:, html_extract.PATH:][:, :html_extract.WORDS]
+    assert (x[0] != x[1]).any()
+    texts = ["a", "b " * 9 + "c", " ".join(f"v{i % 50}" for i in range(1000)), "d e"]
+    assert np.allclose(html_extract._word_means(texts), html_extract._word_means(texts, most=7), atol=1e-6)
+
+
 def test_labeller_on_layouts_it_has_not_seen(spark):
     pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
     model = html_extract.fitted(pages[:60], many=300)
