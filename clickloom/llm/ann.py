@@ -6,6 +6,11 @@ not nearer to one already chosen, and back. A level is one flat array of neighbo
 per vector. A search walks down greedily and keeps a beam on the lowest level; all queries walk side
 by side. The best of each shard are merged, with cosines of the original vectors in double precision.
 
+Vectors of a shard with one direction are one node, however many; behind it stand the rows that any query can need of it, and
+those of the nodes found are compared exactly. Where the nearest vectors are all of one tight group, links are chosen among the
+whole shard, and a row with more links than room keeps those it chose before those that only lead to it. So large groups of
+copies or near copies neither cut the graph nor fill the beam.
+
 Shards have about `per_shard` vectors, so memory and time per task do not depend on the table. Every vector is
 indexed, none is sampled.
 
@@ -29,6 +34,10 @@ from pyspark.sql.window import Window
 from clickloom.llm.common import stored
 
 
+#: Vectors whose cosines to the nearest one are all above this are one group, which is no guide to what lies around it.
+TIGHT = 0.95
+
+
 class Graph:
     """The graph of one shard's unit vectors."""
 
@@ -68,6 +77,7 @@ class Graph:
             near[a:a + block] = np.take_along_axis(part, order, 1)
         keep = np.zeros((n, reach), bool)
         half = width // 2
+        own_choice = []            # links that diversity chose
         for a in range(0, n, block):
             rows = near[a:a + block]
             vectors = unit[rows]
@@ -80,12 +90,19 @@ class Graph:
             # Places that diversity leaves open go to the nearest others.
             spare = np.cumsum(~chosen, axis=1) <= (half - chosen.sum(axis=1))[:, None]
             keep[a:a + block] = chosen | (spare & ~chosen)
+            row, rank = np.nonzero(chosen)
+            own_choice.append(np.column_stack([row + a, rows[row, rank]]))
+            if reach < n - 1:
+                tight = np.flatnonzero((chosen.sum(axis=1) <= half // 4) | (mutual[:, 0].min(axis=1) >= TIGHT))
+                own_choice.append(Graph._spread(unit, tight + a, half))
         source, rank = np.nonzero(keep)
-        target = near[source, rank]
-        both = np.unique(np.concatenate([np.column_stack([source, target]), np.column_stack([target, source])]), axis=0)
-        # A row with more links than fit keeps its nearest.
+        chosen = np.unique(np.concatenate(own_choice).astype(np.int64), axis=0)
+        forth = np.concatenate([np.column_stack([source, near[source, rank]]), chosen])
+        both = np.unique(np.concatenate([forth, forth[:, ::-1]]), axis=0)
+        # A row with more links than fit keeps those it chose, then its nearest.
+        other = ~np.isin(both[:, 0] * n + both[:, 1], chosen[:, 0] * n + chosen[:, 1])
         sims = np.einsum("ed,ed->e", unit[both[:, 0]], unit[both[:, 1]])
-        both = both[np.lexsort((-sims, both[:, 0]))]
+        both = both[np.lexsort((-sims, other, both[:, 0]))]
         begin = np.searchsorted(both[:, 0], np.arange(n))
         place = np.arange(len(both)) - begin[both[:, 0]]
         out = np.full((n, width), -1, np.int32)
@@ -93,6 +110,25 @@ class Graph:
         out[both[fits, 0], place[fits]] = both[fits, 1]
         return out
 
+    @staticmethod
+    def _spread(unit: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
+        """Diverse links (row, other) among all vectors: the nearest, then the nearest not nearer to one chosen, and so on."""
+        if not len(rows):
+            return np.zeros((0, 2), np.int64)
+        own = unit[rows] @ unit.T
+        left = own.copy()
+        left[np.arange(len(rows)), rows] = -np.inf
+        found = []
+        for _ in range(most):
+            at = left.argmax(axis=1)
+            some = np.flatnonzero(left[np.arange(len(rows)), at] > -np.inf)
+            if not len(some):
+                break
+            found.append(np.column_stack([rows[some], at[some]]))
+            left[unit[at] @ unit.T > own] = -np.inf
+            left[np.arange(len(rows)), at] = -np.inf
+        return np.concatenate(found)
+
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """For each query the places and cosines of up to `beam` vectors, nearest first; -1 where there are fewer."""
         q = len(queries)
@@ -149,22 +185,48 @@ def usable(column: str) -> str:
             f"and exists({column}, x -> x != 0)")
 
 
-INDEX = ("shard int, size int, ids binary, vectors binary, members array<binary>, neighbours array<binary>")
+def units(exact: np.ndarray) -> np.ndarray:
+    return (exact / np.linalg.norm(exact, axis=1, keepdims=True)).astype(np.float32)
+
+
+def nodes(ids: np.ndarray, exact: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, begin): the rows to keep, node after node, and where each node begins; a node has one direction.
+
+    Of rows with equal vectors, whose scores are equal for every query, those of the k + 1 smallest ids are kept, k of each id:
+    enough for any query, which leaves out its own id.
+    """
+    _, node = np.unique(units(exact) + np.float32(0), axis=0, return_inverse=True)
+    _, same = np.unique(exact + 0.0, axis=0, return_inverse=True)
+    rows = np.lexsort((ids, same.ravel(), node.ravel()))
+    node, same, name = node.ravel()[rows], same.ravel()[rows], ids[rows]
+    group = np.concatenate([[True], same[1:] != same[:-1]])
+    new = group | np.concatenate([[True], name[1:] != name[:-1]])
+    at = np.arange(len(rows))
+    rank = np.cumsum(new)
+    rank -= rank[np.maximum.accumulate(np.where(group, at, 0))]
+    keep = (rank <= k) & (at - np.maximum.accumulate(np.where(new, at, 0)) < k)
+    node = node[keep]
+    return rows[keep], np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+
+
+INDEX = ("shard int, size int, ids binary, vectors binary, begin binary, members array<binary>, neighbours array<binary>")
 
 
-def index(vectors: DataFrame, per_shard: int, links: int) -> tuple[DataFrame, int]:
-    """One row per shard (and length of vectors): ids, vectors and the neighbour arrays of each level; the number of shards."""
+def index(vectors: DataFrame, per_shard: int, links: int, k: int) -> tuple[DataFrame, int]:
+    """One row per shard (and length of vectors): ids and vectors by node, and the neighbour arrays of each level; the number of shards."""
     shards = max(1, -(-vectors.count() // per_shard))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for size, part in pdf.groupby(pdf["v"].map(len)):
             part = part.sort_values("vec_id")
-            exact = np.stack(part["v"].to_numpy())
-            graph = Graph((exact / np.linalg.norm(exact, axis=1, keepdims=True)).astype(np.float32), links)
-            rows.append((pdf["shard"].iloc[0], size, part["vec_id"].to_numpy(np.int64).tobytes(), exact.tobytes(),
+            ids, exact = part["vec_id"].to_numpy(np.int64), np.stack(part["v"].to_numpy())
+            kept, begin = nodes(ids, exact, k)
+            exact = exact[kept]
+            graph = Graph(units(exact[begin]), links)
+            rows.append((pdf["shard"].iloc[0], size, ids[kept].tobytes(), exact.tobytes(), begin.astype(np.int64).tobytes(),
                          [m.astype(np.int64).tobytes() for m, _ in graph.levels], [n.tobytes() for _, n in graph.levels]))
-        return pd.DataFrame(rows, columns=["shard", "size", "ids", "vectors", "members", "neighbours"])
+        return pd.DataFrame(rows, columns=["shard", "size", "ids", "vectors", "begin", "members", "neighbours"])
 
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int"))
     return stored(dealt.groupBy("shard").applyInPandas(build, INDEX), "graphs"), shards
@@ -178,7 +240,7 @@ def nearest(vectors: DataFrame, query: str, k: int = 5, per_shard: int = 4096, l
     """
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     vectors = vectors.where("vec_id is not null").where(usable("v"))
-    graphs, shards = index(vectors, per_shard, links)
+    graphs, shards = index(vectors, per_shard, links, k)
     asked = stored(vectors.where(query).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     blocks = max(1, -(-asked.count() // query_block))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
@@ -195,15 +257,20 @@ def nearest(vectors: DataFrame, query: str, k: int = 5, per_shard: int = 4096, l
             norms = np.linalg.norm(exact, axis=1)
             levels = [np.frombuffer(m, np.int64) for m in row.members]
             levels = [(m, np.frombuffer(n, np.int32).reshape(len(m), -1)) for m, n in zip(levels, row.neighbours, strict=True)]
-            graph = Graph.stored((exact / norms[:, None]).astype(np.float32), levels)
+            begin = np.frombuffer(row.begin, np.int64)
+            counts = np.diff(begin, append=len(names))
+            graph = Graph.stored(units(exact[begin]), levels)
             for a in range(0, len(ask), 256):
                 own, x = ask["vec_id"].to_numpy()[a:a + 256], np.stack(ask["v"].to_numpy()[a:a + 256])
                 length = np.linalg.norm(x, axis=1)
                 at, _ = graph.search((x / length[:, None]).astype(np.float32), beam)
                 for i in range(len(x)):
                     found = at[i][at[i] >= 0]
+                    many = counts[found]
+                    found = np.repeat(begin[found] - np.cumsum(many) + many, many) + np.arange(many.sum())
                     found = found[names[found] != own[i]]
-                    score = exact[found] @ x[i] / (norms[found] * length[i])
+                    # Summed row by row, so that equal vectors have equal scores in every shard.
+                    score = (exact[found] * x[i]).sum(axis=1) / (norms[found] * length[i])
                     first = np.lexsort((names[found], -score))[:k]
                     owners.append(np.full(len(first), own[i]))
                     ids.append(names[found][first])

@@ -183,6 +183,26 @@ def test_neighbours_of_random_vectors(spark):
     assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.9 * 5 * 30
 
 
+def test_neighbours_around_large_groups(spark):
+    rng = np.random.default_rng(8)
+    centre, near = rng.normal(size=24), rng.normal(size=24)
+    copies = [centre.tolist()] * 1000
+    group = [(near + 0.02 * rng.normal(size=24)).tolist() for _ in range(500)]
+    around = [((centre if i % 2 else near) + rng.normal(size=24) * 0.8).tolist() for i in range(1500)]
+    rows = list(enumerate([v for i in range(1500) for v in (copies + group)[i::1500] + around[i::1500]]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got: dict[int, list] = {}
+    for r in ann.nearest(df, "vec_id % 10 < 2", per_shard=1500).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = exact(rows, got, 5)
+    assert len(got) == 600
+    for kind in (lambda q: q % 2 == 0 and q < 2000, lambda q: q % 2 == 0 and q >= 2000, lambda q: q % 2 == 1):
+        asked = [q for q in got if kind(q)]
+        assert sum(len(set(got[q]) & {i for i, _ in want[q]}) for q in asked) >= 0.95 * 5 * len(asked)
+    # Of copies the smallest ids.
+    assert all(got[q] == [i for i in (0, 2, 4, 6, 8, 10) if i != q][:5] for q in range(0, 2000, 10))
+
+
 def test_neighbours_of_odd_rows(spark):
     rows = [(0, [1.0, 0.0], 1), (50, [0.0, 0.0], 1), (100, None, 1), (150, [1.0, None], 1), (200, [float("nan"), 1.0], 1), (250, [], 1),
             (300, [float("inf"), 1.0], 1), (3, [2.0, 0.0], 1), (2, [3.0, 0.0], 1), (4, [0.0, 1.0], 1), (4, [0.0, 1.0], 1), (None, [1.0, 0.0], 1), (7, [1.0, 0.0, 0.0], 1)]
