@@ -48,9 +48,8 @@ def sketch(items: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     return classes, sets.select("item_id", "class")
 
 
-def contained(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """Pairs (doc_id, item_id, n_item, n_shared, containment) of items whose shingles a document contains to `percent`."""
-    classes, members = sketch(items, k, percent)
+def _found(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, key, class, n_shared, n_item) of the classes a text contains to `percent`; key is the hash of the text."""
     small = lambda df: F.broadcast(df) if small_enough(df, BROADCAST_ROWS) else df
     values = stored(classes.select("class", "part", F.explode("sketch").alias("h")), "sketches")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -65,17 +64,25 @@ def contained(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80)
     wanted = hits.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("class"))
     shared = own.join(small(stored(full, "shingles")), "h").groupBy("doc_id", "key", F.col("_c")).agg(
         F.count("*").alias("n_shared"), F.max("n").alias("n_item"))
-    found = shared.where(f"100 * n_shared >= {percent} * n_item").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")) & (F.col("_c") == F.col("class")))
-    found = found.groupBy("doc_id", "class").agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item"))
+    return shared.where(f"100 * n_shared >= {percent} * n_item").join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")) & (F.col("_c") == F.col("class"))).select(
+        "doc_id", "key", "class", "n_shared", "n_item")
+
+
+def contained(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Pairs (doc_id, item_id, n_item, n_shared, containment) of items whose shingles a document contains to `percent`."""
+    classes, members = sketch(items, k, percent)
+    found = _found(docs, classes, k, percent).groupBy("doc_id", "class").agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item"))
     return found.join(members, "class").groupBy("doc_id", "item_id").agg(
         F.max("n_item").cast("long").alias("n_item"), F.max("n_shared").cast("long").alias("n_shared"),
         F.max(F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, all columns, without those that contain an item."""
-    name = unused(docs, "_bad")
-    bad = stored(contained(docs, items, k, percent).select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    """The documents, all columns, without those that contain an item; other texts under the same or no doc_id stay."""
+    name, text = unused(docs, "_bad"), unused(docs, "_text")
+    classes, _ = sketch(items, k, percent)
+    bad = _found(docs, classes, k, percent).select(F.col("doc_id").alias(name), F.col("key").alias(text)).distinct()
+    bad = stored(bad, "contaminated")
     bad = F.broadcast(bad) if small_enough(bad, BROADCAST_ROWS) else bad
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)) & (F.xxhash64("text") == F.col(text)), "left_anti")

@@ -122,6 +122,15 @@ def test_decontamination_of_odd_rows(spark, odd, empty):
     assert decontamination.contained(odd, items.limit(0)).count() == 0
 
 
+def test_decontamination_keeps_other_texts_of_an_id(spark):
+    item = "one two three four five six seven"
+    rows = [(None, f"x {item} y"), (None, "clean words without any id at all here"), (3, item), (3, "another clean text under this id"), (3, None), (4, item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontamination.decontaminated(docs, items).collect()
+    assert sorted(map(tuple, left), key=str) == sorted((rows[1], rows[3], rows[4]), key=str)
+
+
 def test_decontamination_finds_items_with_some_changed_words(spark):
     item = [f"q{i}" for i in range(50)]
     near, far = list(item), list(item)
