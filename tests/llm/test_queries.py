@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9_nearest_neighbours": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op10_line_dedup": {"doc_id": "bigint", "n_lines": "int", "n_removed": "int", "removed": "string"},
+    "op11_chat_format": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string", "formatted_chars": "bigint"},
+    "op12_conversation_trie": dict.fromkeys(("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"), "bigint") | {"ends_sha256": "string"},
+    "op13_collocations": dict.fromkeys(("a", "l", "r", "n", "score"), "bigint") | {"lang": "string", "rank": "int", "phrase": "string"},
 }
 
 
@@ -37,7 +40,7 @@ def test_query(spark, name):
     assert rows
     if name in ORACLE:
         con = duckdb.connect()
-        for table in ("documents", "benchmark", "pages"):
+        for table in ("documents", "benchmark", "pages", "conversations"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
         relation = con.execute(ORACLE[name])
         order = [d[0] for d in relation.description]
