@@ -8,8 +8,8 @@ threshold as long as the capacity exceeds the partition's mass divided by the th
 be twice that for the mass to be expected; a summary that would still lose too much, because more than expected came to it, grows instead. So
 every n-gram as frequent as the threshold survives, whatever the order and the split of the rows.
 
-Survivors of a round become a bitmap of at most `MOST_BITS` bits. The next round takes only n-grams whose own parts are in it:
-parts are at least as frequent as the whole. A bitmap lets false ones pass, never a true one away, and a full one merely saves
+Survivors of a round become a Bloom filter of at most `MOST_BITS` bits. The next round takes only n-grams whose own parts are in it:
+parts are at least as frequent as the whole. A filter lets some false ones pass, keeps no true one back, and a full one merely saves
 nothing; the exact count decides. A frequent phrase never meets in one task before each task has counted its own.
 
 Text of a lower-cased (A-Z) document is cut into pieces at `.,;:!?` and line breaks (codes 10 to 13), pieces into words at spaces and
@@ -43,8 +43,8 @@ _GAP[[32, 9]] = True
 LONGEST = 4
 #: Counters of a task before it hands them on; of a summary to begin with; expected per hash partition.
 HELD, CAPACITY = 1 << 21, 1 << 18
-#: Bits of a bitmap per survivor, and at most.
-BITS_EACH, MOST_BITS = 16, 1 << 26
+#: Bits of a filter per survivor, and at most; a key sets one bit for each shift of its hash.
+BITS_EACH, MOST_BITS, SHIFTS = 32, 1 << 27, (0, 20, 37)
 #: Counted phrases are broadcast up to this many rows, joined by shuffle beyond.
 BROADCAST_ROWS = 300_000
 _STEP = [np.uint64(0x9E3779B97F4A7C15 * (2 * j + 1) & 0xFFFFFFFFFFFFFFFF) | np.uint64(1) for j in range(LONGEST)]
@@ -148,15 +148,19 @@ def _grams(data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, longest: in
 
 
 def _passed(found: list, bitmaps: dict[int, np.ndarray]) -> list[np.ndarray]:
-    """Per length the places of n-grams that may be frequent: in the bitmap of their length, and so are both n-grams one word shorter."""
+    """Per length the places of n-grams that may be frequent: in the filter of their length, and so are both n-grams one word shorter."""
     whole, before = [], None
     for n, (hashes, inside) in enumerate(found, 1):
         good = inside.copy()
         if n > 1:
             good &= before[:len(good)] & before[1:len(good) + 1]
         if n in bitmaps and len(good):
-            cell = hashes & np.uint64(len(bitmaps[n]) * 64 - 1)
-            good &= (bitmaps[n][(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)
+            left = np.flatnonzero(good)
+            for shift in SHIFTS:
+                cell = (hashes[left] >> np.uint64(shift)) & np.uint64(len(bitmaps[n]) * 64 - 1)
+                left = left[(bitmaps[n][(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63)) & np.uint64(1)).astype(bool)]
+            good = np.zeros(len(good), bool)
+            good[left] = True
         before = good
         whole.append(good)
     return whole
@@ -219,10 +223,10 @@ def frequent(texts: DataFrame, sizes: tuple[int, ...], threshold: int, mass: int
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """The hashes as a bitmap of a power of two of bits, built in Spark; its size, not the number of hashes, bounds what comes to the driver."""
+    """The hashes as a filter of a power of two of bits, built in Spark; its size, not the number of hashes, bounds what comes to the driver."""
     hashes = stored(hashes, "survivors")
     bits = min(MOST_BITS, 1 << max(10, (BITS_EACH * hashes.count()).bit_length()))
-    cells = hashes.select(F.col("h").bitwiseAND(F.lit(bits - 1)).alias("cell"))
+    cells = hashes.select(F.explode(F.array(*[F.shiftrightunsigned("h", s).bitwiseAND(F.lit(bits - 1)) for s in SHIFTS])).alias("cell"))
     rows = cells.groupBy(F.expr("cast(shiftright(cell, 6) as int)").alias("at")).agg(
         F.expr("bit_or(shiftleft(1L, cast(cell & 63 as int)))").alias("bits")).toArrow()
     found = np.zeros(bits // 64, np.uint64)
@@ -230,14 +234,15 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return found
 
 
-def _exact(bitmaps, held: int = 200_000):
+def _exact(bitmaps, held: int = 600_000):
     """A task's counts (lang, words, phrase, f) of the phrases that may be frequent, as text."""
     out = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
 
-    def batch_of(counts: dict) -> pa.RecordBatch:
-        langs, words, phrases = zip(*counts, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.int32()), pa.array([p.decode() for p in phrases], pa.string()),
-                                           pa.array(counts.values(), pa.int64())], schema=out)
+    def batches_of(counts: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, n), of in counts.items():
+            phrases = pa.array(of.keys(), pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(of), pa.string()), pa.array(np.full(len(of), n, np.int32)), phrases,
+                                              pa.array(of.values(), pa.int64())], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps, counts = {n: m.value for n, m in bitmaps.items()}, {}
@@ -248,15 +253,17 @@ def _exact(bitmaps, held: int = 200_000):
                 for n, good in enumerate(_passed(found, maps), 1):
                     where = np.flatnonzero(good)
                     _, first, many = np.unique(found[n - 1][0][where], return_index=True, return_counts=True)
-                    for i, times in zip(where[first].tolist(), many.tolist(), strict=True):
-                        phrase = raw[at[i]:ends[i + n - 1]]
-                        key = (langs[text[i]], n, b" ".join(phrase.split()) if n > 1 else phrase)
-                        counts[key] = counts.get(key, 0) + times
-                if len(counts) >= held:
-                    yield batch_of(counts)
+                    where = where[first]
+                    for i, end, t, times in zip(at[where].tolist(), ends[where + n - 1].tolist(), text[where].tolist(), many.tolist(), strict=True):
+                        of = counts.get((langs[t], n))
+                        if of is None:
+                            of = counts[langs[t], n] = {}
+                        phrase = raw[i:end] if n == 1 else b" ".join(raw[i:end].split())
+                        of[phrase] = of.get(phrase, 0) + times
+                if sum(map(len, counts.values())) >= held:
+                    yield from batches_of(counts)
                     counts = {}
-        if counts:
-            yield batch_of(counts)
+        yield from batches_of(counts)
     return run
 
 
