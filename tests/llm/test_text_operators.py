@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import itertools
 import re
 import zlib
 from fractions import Fraction
@@ -171,6 +172,51 @@ def test_sharding_splits_a_group_larger_than_a_shard(spark):
     assert sorted(held.values())[-2:] == [120, 120]
 
 
+def cut_edges(pairs, where):
+    return sum(where[a] != where[b] for a, b in pairs)
+
+
+@pytest.mark.parametrize(("sizes", "alone", "shards"), [([2] * 240, 0, 4), ([2] * 230, 20, 16), ([2] * 200, 100, 4), ([3] * 100 + [2] * 90, 0, 16), ([40, 30, 20] + [2] * 75, 0, 4)])
+def test_sharding_keeps_groups_whole_when_nearly_all_rows_are_linked(spark, sizes, alone, shards):
+    rows = [(g, f"g{g}") for g, n in enumerate(sizes) for _ in range(n)] + [(10_000 + i, f"t{i}") for i in range(alone)]
+    got = sharding.shard(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string"), shards=shards).collect()
+    counts = collections.Counter(r.shard for r in got)
+    assert len(got) == len(rows) and max(counts.values()) - min(counts.get(s, 0) for s in range(shards)) <= 1
+    held = collections.defaultdict(set)
+    for r in got:
+        held[rows[r.doc_id][1]].add(r.shard)
+    assert all(len(s) == 1 for s in held.values())
+
+
+def test_sharding_of_many_small_groups_without_slack(spark):
+    """More than 512 rows a shard, so that pairs are placed by sums and not one by one."""
+    docs = spark.range(6000).selectExpr("id as doc_id", "concat('g', if(id < 5400, id div 2, 5400 + (id - 5400) div 3)) as text")
+    got = sharding.shard(docs, shards=4).collect()
+    assert collections.Counter(r.shard for r in got) == {s: 1500 for s in range(4)}
+    held = collections.defaultdict(set)
+    for r in got:
+        held[r.doc_id // 2 if r.doc_id < 5400 else -((r.doc_id - 5400) // 3) - 1].add(r.shard)
+    assert sum(len(s) > 1 for s in held.values()) <= 3
+
+
+@pytest.mark.parametrize("sizes", [[3, 3, 2], [4, 2, 2], [5, 1, 2], [3, 2, 2, 1], [2, 2, 2, 2], [4, 4], [6, 1, 1]])
+def test_sharding_cuts_no_more_links_than_the_best_split(spark, sizes):
+    texts = [g for g, n in enumerate(sizes) for _ in range(n)]
+    pairs = [(a, b) for a in range(8) for b in range(a) if texts[a] == texts[b]]
+    best = min(cut_edges(pairs, [i in half for i in range(8)]) for half in itertools.combinations(range(8), 4))
+    got = sharding.shard(spark.createDataFrame([(i, f"g{t}") for i, t in enumerate(texts)], "doc_id long, text string"), shards=2).collect()
+    where = {r.doc_id: r.shard for r in got}
+    assert cut_edges(pairs, where) == best
+
+
+def test_propagation_exchanges_between_full_shards(spark):
+    """Two hubs, each split over both shards, all full: the minorities change places."""
+    links = spark.createDataFrame([(n, "ab"[n % 2], 1) for n in range(20)], "node long, hub string, weight long")
+    state = spark.createDataFrame([(n, (n % 2) ^ (n < 6)) for n in range(20)], "node long, shard int")
+    got = {r.node: r.shard for r in sharding.propagate(state, links, [10, 10], 4).collect()}
+    assert {(n % 2, s) for n, s in got.items()} in ({(0, 0), (1, 1)}, {(0, 1), (1, 0)})
+
+
 def test_targets_and_flow():
     got = mixing.targets({"a": 100, "b": 1000, None: 1000}, 2100, (5, 2, 1), Fraction(3, 2), 2)
     assert got["a"] == 200 and got[None] * 2 == got["b"] and sum(got.values()) == 3150
