@@ -35,6 +35,8 @@ from clickloom.session import fresh_dir
 #: Fixed: the alphabet of RFC 4648 base 32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CHUNK = 1 << 20
+#: Bytes of members that a task reads, about.
+RANGE = 16 << 20
 #: Digests that repeat are broadcast up to this many rows, joined by shuffle beyond.
 BROADCAST_ROWS = 300_000
 RECORDS = ("archive string, offset long, length long, page_id long, url string, record_type string, payload_digest string, "
@@ -123,18 +125,21 @@ def write(pages: DataFrame, folder: str, level: int = 1) -> DataFrame:
 
 
 def inflated(stream, chunk: int = CHUNK):
-    """The inflated bytes of a gzip file of one or more members, in pieces; a cut file is an error."""
+    """The inflated bytes of a gzip file of one or more members, in pieces of at most `chunk` bytes; a cut file is an error."""
     zip_, begun = zlib.decompressobj(31), False
     while data := stream.read(chunk):
-        while data:
+        while True:
             begun = True
-            piece = zip_.decompress(data)
+            piece = zip_.decompress(data, chunk)
             if piece:
                 yield piece
-            data = zip_.unused_data
+            data = zip_.unconsumed_tail
             if zip_.eof:
+                data = zip_.unused_data
                 zip_, begun = zlib.decompressobj(31), False
-            else:
+                if not data:
+                    break
+            elif not data and len(piece) < chunk:
                 break
     if begun:
         raise EOFError("the gzip stream is cut off")
@@ -206,7 +211,8 @@ def normalise(archives: DataFrame, folder: str, level: int = 6) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"archive": [f"{name}.norm.warc.gz"], "index": [f"{name}.index.jsonl"], "records": [records]},
                                                  schema=pa.schema([("archive", pa.string()), ("index", pa.string()), ("records", pa.int64())]))
 
-    dealt = archives.select("archive").repartition("archive")
+    # A number that is given is not coalesced: each archive has a task of its own.
+    dealt = archives.select("archive").repartitionByRange(max(1, archives.count()), "archive")
     return stored(dealt.mapInArrow(run, "archive string, index string, records long"), "normal")
 
 
@@ -257,8 +263,11 @@ def read(normal: DataFrame, with_payload: bool = False) -> DataFrame:
             if file:
                 file.close()
 
-    places = normal.select("index").repartition("index").mapInArrow(offsets, "archive string, offset long, length long")
-    return places.mapInArrow(run, RECORDS)
+    spread = normal.select("index").repartitionByRange(max(1, normal.count()), "index")
+    places = stored(spread.mapInArrow(offsets, "archive string, offset long, length long"), "places")
+    # Tasks read ranges of about RANGE bytes, whichever archive these are in.
+    size = places.agg(F.sum("length")).first()[0] or 0
+    return places.repartitionByRange(size // RANGE + 1, "archive", "offset").sortWithinPartitions("archive", "offset").mapInArrow(run, RECORDS)
 
 
 def archived(pages: DataFrame, least: int = 0, folder: str | None = None) -> DataFrame:

@@ -136,6 +136,26 @@ def test_payloads_come_back(spark, odd, tmp_path):
     assert warc.archived(odd.limit(0), folder=str(tmp_path / "c")).count() == 0
 
 
+def test_each_archive_and_each_range_has_a_task(spark, tmp_path, monkeypatch):
+    pages = spark.range(400, numPartitions=8).selectExpr("id as page_id", "concat('https://x/', id) as url", "repeat(concat('page ', id, ' '), 100) as html")
+    archives = warc.write(warc.typed(pages.repartition(8)), f"{tmp_path}/streams")
+    normal = warc.normalise(archives, f"{tmp_path}/members")
+    assert normal.count() == archives.count() > 1
+    assert len({r[0].rsplit("-", 1)[1] for r in normal.select("archive").collect()}) == normal.count()  # attempts of as many tasks
+    monkeypatch.setattr(warc, "RANGE", 4000)
+    rows = warc.read(normal)
+    assert rows.rdd.getNumPartitions() > normal.count() and rows.count() == 400
+
+
+def test_inflated_pieces_are_bounded():
+    import gzip
+    import io
+
+    data = gzip.compress(bytes(5_000_000)) + gzip.compress(b"abc") + gzip.compress(b"")
+    pieces = list(warc.inflated(io.BytesIO(data), 1 << 16))
+    assert b"".join(pieces) == bytes(5_000_000) + b"abc" and max(map(len, pieces)) <= 1 << 16
+
+
 def test_cut_archives_fail():
     data = gzip.compress(warc.record(1, "u", "text", "D", "response", None))
     read = lambda raw: [(h, b"".join(b)) for h, b in warc.parsed(warc.inflated(io.BytesIO(raw), 7))]
