@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -176,27 +174,42 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int):
             yield np.zeros(0, np.uint64)
 
 
-def bits(n: int) -> int:
-    return max(0, math.ceil(math.log2(max(1, n))))
-
-
 HASHES = 1 << 31
 
 
-def place(*keys: str) -> Column:
-    """A number below HASHES from the hash of some columns."""
-    return F.pmod(F.xxhash64(*keys), F.lit(HASHES))
-
-
 def bound(want: int, total: int) -> int:
-    """Below this place there are surely `want` rows of `total`, and not many more."""
+    """Below this place there are surely `want` of `total` distinct keys, and not many more."""
     return HASHES if total <= 3 * want else HASHES * 3 * want // total
 
 
-def smallest(df: DataFrame, keys: list[str], want: int) -> DataFrame:
-    """The `want` rows with the smallest hashes of their keys. Rows that cannot be among them are left out first, so that
-    tasks send the driver little more than what is kept, however many tasks there are."""
-    return df.where(place(*keys) < bound(want, df.count())).orderBy(place(*keys), *keys).limit(want)
+def sampled(df: DataFrame, keys: list[str], want: int, group: str | None = None) -> DataFrame:
+    """At most `want` rows, of each value of `group` if one is named: those with the smallest hashes of their keys, equal keys once.
+
+    Only hashes are ranked, and those that can hardly be among the smallest are left out before. Where repeated rows leave
+    too few of them, all are ranked. What comes to the driver is a row per value of `group`.
+    """
+    of = F.lit("") if group is None else F.col(group).cast("string")
+    df = df.withColumn("_of", of).withColumn("_hash", F.xxhash64(*keys))
+    order = [F.pmod("_hash", F.lit(HASHES)), F.col("_hash")]
+    total = {r["_of"]: r["count"] for r in df.groupBy("_of").count().collect()}
+    if not total:
+        return df.drop("_of", "_hash")
+    limits = {of: bound(want, n) for of, n in total.items()}
+
+    def last(limits: dict[str, int]) -> dict[str, tuple[int, int, int]]:
+        most = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+        rank = F.row_number().over(Window.partitionBy("_of").orderBy(*order))
+        found = df.select("_of", "_hash").where(order[0] < F.element_at(most, F.col("_of"))).distinct()
+        found = found.withColumn("_rank", rank).where(F.col("_rank") <= want)
+        ends = found.groupBy("_of").agg(F.max(F.struct(order[0].alias("p"), order[1].alias("h"))).alias("e"), F.count("*").alias("n"))
+        return {r["_of"]: (r["e"]["p"], r["e"]["h"], r["n"]) for r in ends.collect()}
+
+    ends = last(limits)
+    short = {of: HASHES for of, limit in limits.items() if limit < HASHES and ends.get(of, (0, 0, 0))[2] < want}
+    if short:
+        ends |= last({of: short.get(of, 0) for of in limits})
+    p, h = (F.element_at(F.create_map(*[F.lit(x) for of, e in ends.items() for x in (of, e[i])]), F.col("_of")) for i in (0, 1))
+    return df.where((order[0] < p) | ((order[0] == p) & (order[1] <= h))).dropDuplicates(["_of", "_hash"]).drop("_of", "_hash")
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import small_batches, smallest
+from clickloom.llm.common import sampled, small_batches
 
 #: Fixed: tags that begin and end a block, tags without content, and tags whose content is not text.
 BLOCK_TAGS = frozenset("""address article aside blockquote body button canvas caption center dd details dialog dir div dl dt fieldset
@@ -422,7 +422,7 @@ def extract(pages: DataFrame, sample: int = 200, most_bytes: int = 50_000) -> Da
     The labeller learns from the `sample` pages with the smallest hashes, of at most `most_bytes` bytes.
     """
     small_batches(pages.sparkSession)
-    chosen = smallest(pages.where(F.octet_length("html").between(1, most_bytes)).select("page_id", "url", "html"), ["page_id", "url"], sample)
+    chosen = sampled(pages.where(F.octet_length("html").between(1, most_bytes)).select("page_id", "url", "html"), ["page_id", "url", "html"], sample)
     model = pages.sparkSession.sparkContext.broadcast(fitted([r.html for r in chosen.collect()]))
 
     @F.arrow_udf("struct<text: string, n_chars: long, n_blocks: int, n_content: int>")

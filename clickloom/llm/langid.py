@@ -26,9 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from clickloom.llm.common import bound, place, small_batches
+from clickloom.llm.common import sampled, small_batches
 
 SLOT_BITS = 20
 _LETTER = None
@@ -145,14 +144,7 @@ def identify(docs: DataFrame, per_language: int = 250, most_bytes: int = 20_000,
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang").withColumn("held_out", F.expr("crc32(cast(doc_id as string)) % 4 = 2"))
     known = docs.where("not held_out and lang is not null and text is not null").where(F.octet_length("text") <= most_bytes)
-    # A row per language; rows that cannot be among its per_language smallest hashes are left out before they are ranked.
-    bounds = {r["lang"]: bound(per_language, r["count"]) for r in known.groupBy("lang").count().collect()}
-    if bounds:
-        limit = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
-        known = known.where(place("doc_id") < F.element_at(limit, F.col("lang")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place("doc_id"), "doc_id"))
-    ids = known.select("doc_id", "lang", rank.alias("_rank")).where(F.col("_rank") <= per_language).select(F.col("doc_id").alias("_id")).distinct()
-    rows = known.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("text", "lang").collect()
+    rows = sampled(known, ["doc_id", "text"], per_language, group="lang").select("text", "lang").collect()
     model = docs.sparkSession.sparkContext.broadcast(learn([(r.text, r.lang) for r in rows], longest, vocabulary, landmarks, ridge))
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import small_batches, smallest, unused
+from clickloom.llm.common import sampled, small_batches, stored, unused
 
 WORD = re.compile(r"[^\W_]+")
 #: Fixed: marks that open or close a quotation.
@@ -258,11 +258,12 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, most_bytes: int)
     """Labelled rows to learn from: of each class those with the smallest hashes, none that is held out."""
     labels = (labels.where("toxic in (0, 1) and crc32(cast(doc_id as string)) % 4 != 2")
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    ids = smallest(labels.where("toxic = 1"), ["doc_id"], per_class).union(smallest(labels.where("toxic = 0"), ["doc_id"], 2 * per_class))
-    ids = ids.select(F.col("doc_id").alias("_id"), "toxic")
+    ids = sampled(labels, ["doc_id", "toxic"], 2 * per_class, group="toxic").select(F.col("doc_id").alias("_id"), "toxic")
     rows = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes)
-    # At most 3 * per_class ids are broadcast and as many rows collected.
-    return [(r.text, r.toxic) for r in rows.join(F.broadcast(ids), rows.doc_id == F.col("_id")).collect()]
+    # At most 4 * per_class ids are broadcast. An id may stand for many rows, so these are cut to as many again.
+    rows = stored(rows.join(F.broadcast(ids), rows.doc_id == F.col("_id")).select("doc_id", "text", "toxic"), "labelled")
+    return [(r.text, r.toxic) for toxic, most in ((1, per_class), (0, 2 * per_class))
+            for r in sampled(rows.where(F.col("toxic") == toxic), ["doc_id", "text"], most).collect()]
 
 
 def score(docs: DataFrame, labels: DataFrame, per_class: int = 1500, most_bytes: int = 20_000) -> DataFrame:
