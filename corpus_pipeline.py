@@ -19,21 +19,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that 5-word shingles link at 0.8 or more, the one with the smallest doc_id.
+    """Of documents that 5-word shingles link at 0.8 or more, one: that with the smallest doc_id, null last, then by the hash of its text.
 
-    Documents without words and without doc_id stay. Rows that share a doc_id stay or go together, equal ones as one.
+    Documents without words stay. Which rows are one document is told by doc_id and text, so repeated or null ids do no harm.
     """
     docs = docs.select(COLUMNS)
-    groups = jaccard_join(docs, k=5, percent=80)
-    keep = groups.where("n_shingles = 0 or doc_id = component_id or component_id is null")
-    keep = keep.select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_keep")), "left_semi")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_twice"))
-    if repeated.isEmpty():
+    groups = stored(jaccard_join(docs, k=5, percent=80), "groups")
+    some = groups.where("n_shingles > 0")
+    first = some.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("f"), F.count("*").alias("n"))
+    keep = first.select("f.doc_id", "f.key").unionByName(groups.where("n_shingles = 0").select("doc_id", "key").distinct())
+    keep = keep.select(F.col("doc_id").alias("_keep"), F.col("key").alias("_key"))
+    is_kept = docs["doc_id"].eqNullSafe(F.col("_keep")) & (F.xxhash64(docs["text"]) == F.col("_key"))
+    kept = docs.join(keep, is_kept, "left_semi")
+    twice = some.groupBy("doc_id", "key").agg(F.count("*").alias("_n")).where("_n > 1")
+    twice = stored(twice.select(F.col("doc_id").alias("_twice"), F.col("key").alias("_same")), "repeated")
+    if twice.isEmpty():
         return kept
-    twice = kept.join(repeated, kept["doc_id"].eqNullSafe(F.col("_twice")), "left_semi")
-    once = kept.join(repeated, kept["doc_id"].eqNullSafe(F.col("_twice")), "left_anti")
-    return once.unionByName(twice.dropDuplicates(["doc_id", "text"]))
+    equal = kept["doc_id"].eqNullSafe(F.col("_twice")) & (F.xxhash64(kept["text"]) == F.col("_same"))
+    return kept.join(twice, equal, "left_anti").unionByName(kept.join(twice, equal, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

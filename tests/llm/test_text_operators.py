@@ -9,10 +9,12 @@ import zlib
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
 from clickloom.llm import decontamination, langid, line_dedup, mixing, sharding, toxicity
+from clickloom.llm.common import sampled
 from clickloom.llm.jaccard_join import jaccard_join
 
 DATA = "/root/testdata/sf0.001"
@@ -337,6 +339,36 @@ def test_language_is_not_learned_from_held_out_rows(spark):
     assert sorted(langid.identify(docs).collect()) == sorted(langid.identify(changed).collect())
 
 
+@pytest.mark.parametrize("key", ["3", "4", "6", "cast(null as long)"])
+def test_samples_hold_enough_rows_whatever_their_keys(spark, key):
+    """4,000 texts, half of them equal, under one id or none."""
+    rows = spark.range(4000).selectExpr(f"{key} as doc_id", "concat('text ', if(id < 2000, id, 0)) as text", "if(id % 10 = 0, 'x', 'y') as lang")
+    got = sampled(rows, ["doc_id", "text"], 50, group="lang").collect()
+    assert collections.Counter(r.lang for r in got) == {"x": 50, "y": 50} and len({(r.text, r.lang) for r in got}) == 100
+    assert sampled(rows.where("lang = 'x'"), ["doc_id"], 50).count() == 1
+    assert sampled(rows.limit(0), ["doc_id"], 50).count() == 0
+
+
+@pytest.mark.parametrize("one_id", [3, 4, 6])
+def test_language_and_toxicity_are_learned_under_one_id(spark, one_id):
+    docs = spark.range(900).selectExpr(f"{one_id}L as doc_id", "if(id % 3 = 0, concat('the house is old ', id), concat('das haus ist alt ', id)) as text",
+                                       "if(id % 3 = 0, 'en', 'de') as lang")
+    pairs = collections.Counter((r.lang, r.lang_pred) for r in docs.withColumn("n", F.monotonically_increasing_id()).join(
+        langid.identify(docs).select("doc_id", "lang_pred").withColumn("n", F.monotonically_increasing_id()), "n").collect())
+    assert set(pairs) == {("en", "en"), ("de", "de")}
+    labels = spark.createDataFrame([(one_id, 1)], "doc_id long, toxic int")
+    assert len(toxicity.sample(docs, labels, 20, 20_000)) == 20
+
+
+def test_near_copies_without_ids_leave_one(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, text), (None, text + " more"), (None, "more " + text), (None, "an unrelated text of some more words"), (None, ""), (None, None), (7, text), (7, "other words that stand alone here"),
+            (7, "other words that stand alone here")]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], SCHEMA)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, DATA).collect()]
+    assert sorted(got, key=str) == sorted([rows[0], rows[3], rows[4], rows[5], rows[7]], key=str)
+
+
 def test_pipeline_stages(spark):
     sf, docs = DATA, spark.read.parquet(f"{DATA}/documents.parquet")
     text = {r.doc_id: r.text for r in docs.collect()}
