@@ -216,17 +216,16 @@ seen AS (
 late AS (SELECT * FROM seen WHERE window_end + {LATE} <= newest_ms)"""
 
 
-def histogram(interval: int) -> str:
+def histogram(parts: int) -> str:
+    """Sizes of the micro-batches of a log that arrives in parts, by position."""
     bounds = [10, 50, 100, 250, 500, 1000]
     lines = [f"SELECT '{b}' AS le, count(*) FILTER (size <= {b}) AS batches, count(*) AS batch_count, "
              f"sum(size)::BIGINT AS row_sum FROM batch" for b in bounds]
     lines.append("SELECT '+Inf', count(*), count(*), sum(size)::BIGINT FROM batch")
-    return f""",
-numbered AS (
-  SELECT "timestamp" // {interval} AS slot,
-         (row_number() OVER (PARTITION BY "timestamp" // {interval} ORDER BY source_offset) - 1) // 500 AS part
-  FROM good),
-batch AS (SELECT count(*) AS size FROM numbered GROUP BY slot, part)
+    return f"""
+WITH whole AS (SELECT max(event_id) + 1 AS n FROM events),
+part AS (SELECT p * n // {parts} AS low, (p + 1) * n // {parts} AS high FROM whole, range({parts}) AS r(p)),
+batch AS (SELECT count(*) AS size FROM events JOIN part ON event_id >= low AND event_id < high GROUP BY low)
 """ + "\nUNION ALL ".join(lines)
 
 
@@ -402,10 +401,8 @@ SELECT 'events_failed', CASE WHEN decode_error IS NOT NULL THEN 'deserialize'
 FROM judged WHERE error_reason IS NOT NULL GROUP BY 2
 UNION ALL SELECT 'events_dlq', 'all', count(*) FROM judged WHERE error_reason IS NOT NULL
 UNION ALL SELECT 'aggregations_emitted', window_type, count(*) FROM metric GROUP BY 2"""),
-    "batch_size_histogram": _with(GOOD + histogram(5_000).partition("\nSELECT")[0],
-                                  "SELECT" + histogram(5_000).partition("\nSELECT")[2]),
-    "batch_size_histogram_daily": _with(GOOD + histogram(DAY).partition("\nSELECT")[0],
-                                        "SELECT" + histogram(DAY).partition("\nSELECT")[2]),
+    "batch_size_histogram": histogram(3),
+    "batch_size_histogram_small_batches": histogram(8),
     "stream_tumbling_1m": _with(GOOD + "," + tumbling("w", "events_per_minute", MINUTE), f"FROM w WHERE {_CLOSED}"),
     "stream_tumbling_5m": _with(GOOD + "," + tumbling("w", "revenue_per_5min", FIVE), f"FROM w WHERE {_CLOSED}"),
     "stream_sessions": _with(GOOD + "," + sessions("s", LONG_GAP), f"""

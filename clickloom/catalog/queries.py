@@ -27,6 +27,7 @@ from clickloom.sinks import messages
 from clickloom.sinks.tables import DEAD_LETTERS, Tables
 from clickloom.sources import activity_log, decode, topics
 from clickloom.streaming import jobs
+from clickloom.streaming.progress import ProgressLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,8 @@ SETTINGS = Settings()
 LONG_GAP = dataclasses.replace(SETTINGS, session_gap_seconds=21_600)
 # Every 211th event arrives this many events late.
 ARRIVAL_DELAY = 1_000
+# Messages per file, about.
+MESSAGES_PER_FILE = 500_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -403,19 +406,6 @@ def stage_counters(spark, sf_dir):
     return metrics.stage_counters(checked, window_metrics(spark, sf_dir))
 
 
-@query
-def batch_size_histogram(spark, sf_dir):
-    batches = metrics.sink_batches(good_events(spark, sf_dir), SETTINGS.batch_rows, SETTINGS.flush_seconds)
-    return metrics.batch_size_histogram(batches)
-
-
-@query
-def batch_size_histogram_daily(spark, sf_dir):
-    """Flushed once a day, so that batches fill up."""
-    batches = metrics.sink_batches(good_events(spark, sf_dir), SETTINGS.batch_rows, 86_400)
-    return metrics.batch_size_histogram(batches)
-
-
 # --- streams ------------------------------------------------------------------------------------------
 
 def stream_good(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,17 +458,44 @@ def stream_rows(spark, sf_dir):
         letters.select(F.lit("dead_letters").alias("table_name"), "*"))
 
 
-def message_files(spark: SparkSession, sf_dir: str, path: str, parts: int, in_time: bool = True) -> None:
-    """The damaged messages as `parts` files, one after another by position. With `in_time` False every 211th comes late."""
+def message_files(spark: SparkSession, sf_dir: str, path: str, parts: int, in_time: bool = True) -> int:
+    """The damaged messages in `parts` parts of as many files each, one part after another by position; how many files. With
+    `in_time` False every 211th comes late."""
     rows = activity_log.to_messages(activity_log.read_log(spark, sf_dir))
     n = F.col("source_offset")
     arrival = n if in_time else F.when(n % 211 == 0, n + ARRIVAL_DELAY).otherwise(n)
     last = activity_log.read_log(spark, sf_dir).agg(F.max("event_id")).first()[0]
+    files = 2 + last // parts // MESSAGES_PER_FILE
     for part in range(parts):
         low, high = part * (last + 1) // parts, (part + 1) * (last + 1) // parts
         found = rows.where(arrival >= low)
         found = found if part == parts - 1 else found.where(arrival < high)
-        found.coalesce(1).write.mode("append").parquet(path)
+        found.repartition(files).write.mode("append").parquet(path)
+    return files
+
+
+def micro_batches(spark: SparkSession, sf_dir: str, parts: int) -> DataFrame:
+    """Histogram of the sizes of the micro-batches in which a row stream read the messages."""
+    root = fresh_dir(spark, "micro-batches")
+    files = message_files(spark, sf_dir, f"{root}/messages", parts)
+    events = decode.decode_json(topics.stream_files(spark, f"{root}/messages", files))
+    rows = jobs.store_rows(events, Tables(spark, f"{root}/tables"), f"{root}/state", SETTINGS, once=True)
+    _run(rows)
+    progress = ProgressLog(spark, f"{root}/progress")
+    progress.complete(rows)
+    progress.flush()
+    return metrics.micro_batch_sizes(progress.read())
+
+
+@query
+def batch_size_histogram(spark, sf_dir):
+    return micro_batches(spark, sf_dir, 3)
+
+
+@query
+def batch_size_histogram_small_batches(spark, sf_dir):
+    """More and smaller micro-batches of the same messages."""
+    return micro_batches(spark, sf_dir, 8)
 
 
 @query
@@ -486,9 +503,9 @@ def load_then_stream(spark, sf_dir):
     """The messages loaded, streamed again in three micro-batches and their dead letters replayed: every row once."""
     root = fresh_dir(spark, "load-then-stream")
     tables, messages_ = Tables(spark, f"{root}/tables"), f"{root}/messages"
-    message_files(spark, sf_dir, messages_, 3)
+    files = message_files(spark, sf_dir, messages_, 3)
     batch.load(spark, tables, SETTINGS, messages_)
-    events = decode.decode_json(topics.stream_files(spark, messages_, 1))
+    events = decode.decode_json(topics.stream_files(spark, messages_, files))
     _run(jobs.store_rows(events, tables, f"{root}/state", SETTINGS, once=True))
     batch.replay(tables, SETTINGS)
     letters = tables.dead_letters().select(F.lit("dead_letters").alias("table_name"), F.concat_ws(":", *SOURCE_COLUMNS).alias("row_key"),
@@ -524,8 +541,8 @@ def stream_then_restate(spark, sf_dir):
     """Messages in five micro-batches, some of them late, and what was too late repaired: the closed windows and sessions."""
     root = fresh_dir(spark, "restate")
     tables, messages_ = Tables(spark, f"{root}/tables"), f"{root}/messages"
-    message_files(spark, sf_dir, messages_, 5, in_time=False)
-    events = decode.decode_json(topics.stream_files(spark, messages_, 1))
+    files = message_files(spark, sf_dir, messages_, 5, in_time=False)
+    events = decode.decode_json(topics.stream_files(spark, messages_, files))
     started = [jobs.store_rows(events, tables, f"{root}/state", SETTINGS, once=True),
                *jobs.all_metrics(chain.process(events), jobs.metrics_to_table(tables), f"{root}/state", SETTINGS, once=True)]
     for query_ in started:

@@ -150,19 +150,6 @@ def stage_counters(checked: DataFrame, metrics: DataFrame) -> DataFrame:
     return events.unionByName(emitted.select(F.lit("aggregations_emitted").alias("counter"), "label", "value"))
 
 
-def sink_batches(events: DataFrame, batch_rows: int, flush_seconds: float) -> DataFrame:
-    """Sizes of the batches a sink writes that flushes after `batch_rows` rows or `flush_seconds`:
-    one row per interval and size with the number of such batches."""
-    interval = clock.floor_to(F.col("timestamp"), int(flush_seconds * 1000)).alias("interval_start")
-    per_interval = events.groupBy(interval).agg(row_count().alias("n"))
-    full = F.floor(F.col("n") / F.lit(batch_rows))
-    rest = F.pmod("n", F.lit(batch_rows))
-    sizes = F.array(
-        F.struct(F.lit(batch_rows).cast("long").alias("batch_size"), full.alias("batches")),
-        F.struct(rest.alias("batch_size"), F.when(rest > 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("batches")))
-    return (per_interval.select("interval_start", F.inline(sizes)).where(F.col("batches") > 0))
-
-
 def micro_batch_sizes(progress: DataFrame, bounds: list[int] | None = None) -> DataFrame:
     """Histogram of the rows that each micro-batch of the row stream read, from the progress of the streams."""
     read = progress.where("query = 'rows' AND input_rows > 0")

@@ -6,6 +6,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 PROGRESS_SCHEMA = T.StructType([
@@ -22,11 +23,16 @@ PROGRESS_SCHEMA = T.StructType([
 
 class ProgressLog(StreamingQueryListener):
     """Collects one small row per micro-batch; `flush`, called by the job and not in the callback, appends them to a
-    parquet table."""
+    parquet table.
+
+    Events reach a listener some time after their micro-batch, perhaps after the query has ended. `complete` adds what a query itself
+    still knows, so that the last micro-batches of a job are not lost.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
         self._rows: list[tuple] = []
+        self._last: dict[str, int] = {}  # the newest micro-batch noted of each run; those of a run come in order
         self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
@@ -36,7 +42,9 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        p = event.progress
+        self._note(event.progress)
+
+    def _note(self, p) -> None:
         seen = p.observedMetrics.get("rows") if p.observedMetrics else None
         row = (
             p.name, p.batchId, p.timestamp, p.numInputRows,
@@ -45,7 +53,14 @@ class ProgressLog(StreamingQueryListener):
             sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
         )
         with self._lock:
-            self._rows.append(row)
+            if p.batchId > self._last.get(str(p.runId), -1):
+                self._last[str(p.runId)] = p.batchId
+                self._rows.append(row)
+
+    def complete(self, query: StreamingQuery) -> None:
+        """Note the micro-batches of a query that has ended and that no event has told of yet."""
+        for progress in query.recentProgress:
+            self._note(progress)
 
     def onQueryTerminated(self, event) -> None:
         pass

@@ -14,7 +14,7 @@ from clickloom.operators.dedupe import first_per_key
 from clickloom.schemas import METRICS_COLUMNS, PER_MINUTE, STORED_COLUMNS
 from clickloom.operators import windows
 from clickloom.plans import reports
-from clickloom.sinks.tables import DEAD_LETTERS, EVENTS, METRICS, Tables
+from clickloom.sinks.tables import DEAD_LETTERS, EVENTS, KEY_INDEX, METRICS, Tables
 from clickloom.operators.dead_letters import envelope
 
 
@@ -62,6 +62,46 @@ def test_a_small_batch_reads_ids_of_its_buckets_without_a_shuffle_of_the_table(m
     batch.unpersist()
 
 
+def test_a_small_batch_of_new_ids_reads_no_stored_ids(make, tables):
+    tables.append(stored(make(*[{"event_id": f"s{i}"} for i in range(200)])), EVENTS)
+    batch = stored(make(*[{"event_id": f"n{i}"} for i in range(50)])).persist()
+    new = tables.new_rows(batch, EVENTS, small=True)
+    assert EVENTS not in new._jdf.queryExecution().toString() and new.count() == 50
+    batch.unpersist()
+
+
+def test_ids_are_looked_up_in_the_dates_that_may_hold_them(make, tables):
+    tables.append(stored(make(*[{"event_id": f"s{i}", "timestamp": T0 + i % 5 * 86_400_000} for i in range(200)])), EVENTS)
+    batch = stored(make({"event_id": "s1"}, {"event_id": "n"})).persist()
+    new = tables.new_rows(batch, EVENTS, small=True)
+    plan = new._jdf.queryExecution().toString()
+    assert "2024-05-25" in plan and "2024-05-24" not in plan and "2024-05-26" not in plan
+    assert [r.event_id for r in new.collect()] == ["n"]
+    batch.unpersist()
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_hashes_without_a_stored_id_change_nothing(spark, make, tables, small):
+    tables.append(stored(make({"event_id": "a"})), EVENTS)
+    # As after a write that broke off, or as if another id had the same hash.
+    lost = stored(make({"event_id": "b"}, {"event_id": "c", "timestamp": T0 + 86_400_000}))
+    tables._index(tables._laid_out(lost, EVENTS), small)
+    tables.insert(lost, EVENTS, small=small)
+    tables.insert(lost, EVENTS, small=small)
+    assert sorted(r.event_id for r in tables.events().collect()) == ["a", "b", "c"]
+
+
+def test_an_index_that_is_absent_or_unfinished_is_built_from_the_stored_ids(spark, make, tables, tmp_path):
+    tables.append(stored(make({"event_id": "a"}, {"event_id": "b"})), EVENTS)
+    other = Tables(spark, str(tmp_path / "moved"))
+    # A table that was written without an index, and an index whose building broke off.
+    tables.events().write.partitionBy("event_date", "id_bucket").parquet(other.path(EVENTS))
+    tables._keys().limit(1).write.partitionBy("id_bucket").parquet(f"{other.path(KEY_INDEX)}/keys")
+    other.insert(stored(make({"event_id": "a"}, {"event_id": "b"}, {"event_id": "c"})), EVENTS)
+    assert sorted(r.event_id for r in other.events().collect()) == ["a", "b", "c"]
+    assert other._keys().count() == 3
+
+
 def test_dead_letters_without_a_position_are_all_kept(spark, make, tables):
     rejected = envelope(chain.rejected(chain.checked(make(*[{"timestamp": 0}] * 5, {"timestamp": -1}))))
     unplaced = rejected.withColumn("source_offset", F.lit(None).cast("long"))
