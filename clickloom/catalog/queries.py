@@ -544,7 +544,8 @@ def stream_then_restate(spark, sf_dir):
     files = message_files(spark, sf_dir, messages_, 5, in_time=False)
     events = decode.decode_json(topics.stream_files(spark, messages_, files))
     started = [jobs.store_rows(events, tables, f"{root}/state", SETTINGS, once=True),
-               *jobs.all_metrics(chain.process(events), jobs.metrics_to_table(tables), f"{root}/state", SETTINGS, once=True)]
+               *jobs.all_metrics(chain.process(events), jobs.metrics_to_table(tables), f"{root}/state", SETTINGS, once=True,
+                                 note=jobs.marks_to_table(tables))]
     for query_ in started:
         _run(query_)
     batch.restate_late(tables, SETTINGS)

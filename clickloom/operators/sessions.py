@@ -29,9 +29,9 @@ def _islands(events: DataFrame, gap_seconds: int, measures: list[Column]) -> Dat
             .withColumn("window_start", F.expr(f"last_value(_start) IGNORE NULLS {in_order}")))
 
 
-def session_rows(sessions: DataFrame) -> DataFrame:
+def session_rows(sessions: DataFrame, *more: str) -> DataFrame:
     """Sessions, one row each with start, end and additive measures, in the layout of
-    aggregated_metrics, after their key columns."""
+    aggregated_metrics, after their key columns; `more` columns come last."""
     made = {
         "window_type": f"'{SESSION}' AS window_type",
         "window_id": f"md5(concat_ws('|', '{SESSION}', window_start, user_id, session_id)) AS window_id",
@@ -39,7 +39,7 @@ def session_rows(sessions: DataFrame) -> DataFrame:
         "top_products": "CAST(array() AS array<string>) AS top_products",
         "top_categories": "CAST(array() AS array<string>) AS top_categories",
     }
-    return sessions.selectExpr(*KEY, *[made.get(name, name) for name in METRICS_COLUMNS])
+    return sessions.selectExpr(*KEY, *[made.get(name, name) for name in METRICS_COLUMNS], *more)
 
 
 def sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
