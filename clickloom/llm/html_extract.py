@@ -20,6 +20,7 @@ import dataclasses
 import html as entities
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,57 +34,203 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body button canvas ca
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p
 pre section select summary table tbody td tfoot th thead title tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = "script|style|noscript|template|iframe|object|svg|textarea|select|title"
+SKIPPED = frozenset("script style noscript template iframe object svg textarea select title".split())
+SECTIONS = frozenset("ul ol dl table div section article aside nav main blockquote form".split())
 CLOSES_P = BLOCK_TAGS - {"button", "caption", "option", "optgroup", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot"}
 
-#: A skipped name ends at white space, "/" or ">", so that <svg-icon> is a tag like others; <svg/> has no content to skip.
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<svg(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
-    rf"|<({SKIPPED})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 NAMED = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 PARTS = re.compile(r"[a-z]+|\d+")
 SPACE = re.compile(r"\s+")
+SPECIAL = re.compile(r"[\"'>]")
+NAME_END = re.compile(r"[\s/>]")
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in SKIPPED}
 
 PATH, WORDS, EXTRA = 48, 16, 6
 SIZE = PATH + WORDS + EXTRA
 
 
+class Tag:
+    """An open tag: what it is called, the tag around it, and the sum of the vectors of both."""
+
+    __slots__ = ("name", "parts", "around", "total")
+
+    def __init__(self, name: str, parts: tuple[str, ...], around: Tag | None) -> None:
+        self.name, self.parts, self.around = name, parts, around
+        own = _sum_of(tuple(t for t in parts if t not in PLAIN))
+        self.total = own if around is None else around.total + own
+
+    def path(self) -> tuple[str, ...]:
+        """What the open tags are called, from the outside."""
+        found, tag = [], self
+        while tag:
+            found.append(tag.parts)
+            tag = tag.around
+        return tuple(t for parts in reversed(found) for t in parts)
+
+    def vector(self) -> np.ndarray:
+        """The sum for all names but plain ones; the last two names count once more."""
+        last, tag = self.parts[-2:], self.around
+        while len(last) < 2 and tag:
+            last, tag = (tag.parts + last)[-2:], tag.around
+        return (self.total + _sum_of(last)) * np.float32(1.5 / np.sqrt(PATH))
+
+
 @dataclasses.dataclass
 class Block:
     text: str
-    path: tuple[str, ...]      # what the open tags are called, from the outside
+    tag: Tag                   # the innermost open tag
     linked: int                # letters inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.tag.path()
+
+
+class OpenTags:
+    """The tags that are open, with the places of each name and kind, so that none is searched for."""
+
+    def __init__(self) -> None:
+        self.root = Tag("", (), None)
+        self.tags: list[Tag] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.sections: list[int] = []
+        self.links = 0
+
+    def top(self) -> Tag:
+        return self.tags[-1] if self.tags else self.root
+
+    def place(self, name: str) -> int | None:
+        found = self.places.get(name)
+        return found[-1] if found else None
+
+    def push(self, name: str, parts: tuple[str, ...]) -> None:
+        at = len(self.tags)
+        self.tags.append(Tag(name, parts, self.top()))
+        self.places.setdefault(name, []).append(at)
+        if name in BLOCK_TAGS:
+            self.blocks.append(at)
+        if name in SECTIONS:
+            self.sections.append(at)
+        self.links += name == "a"
+
+    def close(self, place: int) -> None:
+        """Close the tag at a place and all that were opened in it."""
+        while len(self.tags) > place:
+            name = self.tags.pop().name
+            self.places[name].pop()
+            if name in BLOCK_TAGS:
+                self.blocks.pop()
+            if name in SECTIONS:
+                self.sections.pop()
+            self.links -= name == "a"
+
+
+class Search:
+    """The next match of a pattern from places that only grow: text between one place and its match is read once."""
+
+    def __init__(self, pattern: re.Pattern, page: str) -> None:
+        self.pattern, self.page, self.begin, self.found = pattern, page, 0, -1
+
+    def at(self, begin: int) -> int:
+        """The place of the match, the length of the page if there is none."""
+        if not self.begin <= begin <= self.found:
+            match = self.pattern.search(self.page, begin)
+            self.begin, self.found = begin, match.start() if match else len(self.page)
+        return self.found
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, bool, str | None, str]]:
+    """Tags, comments and skipped content: begin, end, whether it is an end tag, name (None for what is no tag) and attributes.
+
+    Linear in the page: places that no tag can end behind are remembered, so none is read again for every "<" before it.
+    """
+    last, size, at = page.rfind(">"), len(page), 0
+    names, specials, hopeless = Search(NAME_END, page), Search(SPECIAL, page), set()
+
+    def end_of(begin: int) -> int | None:
+        """The place of the ">" that ends a tag, outside of quotes."""
+        seen, place = [], specials.at(begin)
+        while place < size and place not in hopeless:
+            if page[place] == ">":
+                return place
+            seen.append(place)
+            pair = page.find(page[place], place + 1)
+            if pair < 0:
+                break
+            following = SPECIAL.search(page, pair + 1)
+            place = following.start() if following else size
+        hopeless.update(seen)
+        return None
+
+    while True:
+        begin = page.find("<", at)
+        if begin < 0:
+            return
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = size if end < 0 else end + 3
+            yield begin, at, False, None, ""
+            continue
+        if page.startswith("<![", begin) and page[begin + 3:begin + 9].lower() == "cdata[":
+            end = page.find("]]>", begin + 9)
+            at = size if end < 0 else end + 3
+            yield begin, at, False, None, ""
+            continue
+        if begin > last:  # no tag ends any more, but a comment may begin
+            at = begin + 1
+            continue
+        mark = page[begin + 1:begin + 2]
+        if mark in ("!", "?") and mark:
+            at = page.find(">", begin + 2) + 1
+            yield begin, at, False, None, ""
+            continue
+        closing = mark == "/"
+        first = begin + 1 + closing
+        if not (page[first:first + 1].isascii() and page[first:first + 1].isalpha()):
+            at = begin + 1
+            continue
+        after = names.at(first)
+        end = end_of(after)
+        if end is None:
+            at = begin + 1
+            continue
+        name, at = page[first:after].lower(), end + 1
+        if name in SKIPPED and not closing:
+            if name != "svg" or page[end - 1] != "/":  # <svg/> has no content to skip
+                stop = ENDS[name].search(page, at)
+                at = stop.end() if stop else size
+            yield begin, at, False, None, ""
+            continue
+        yield begin, at, closing, name, page[after:end]
+
 
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page, in page order, with decoded text."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = OpenTags()
     text: list[str] = []
-    linked = links = at = 0
+    linked = at = 0
 
     def flush():
         nonlocal linked
         if text:
             joined = SPACE.sub(" ", "".join(text)).strip()
             if joined:
-                out.append(Block(joined, tuple(p for _, names in stack for p in names), linked))
+                out.append(Block(joined, stack.top(), linked))
             text.clear()
         linked = 0
 
-    for token in TOKEN.finditer(page):
-        if token.start() > at:
-            part = entities.unescape(page[at:token.start()])
+    for begin, end, closing, name, attributes in tokens(page):
+        if begin > at:
+            part = entities.unescape(page[at:begin])
             text.append(part)
-            if links:
+            if stack.links:
                 linked += len(part)
-        at = token.end()
-        name = token[3]
+        at = end
         if name is None:
             continue
-        name = name.lower()
         if name == "br":
             text.append(" ")
             continue
@@ -91,40 +238,31 @@ def blocks(page: str) -> list[Block]:
             if name == "hr":
                 flush()
             continue
-        if name == "math" and not token[2] and token[4].endswith("/"):
+        if name == "math" and not closing and attributes.endswith("/"):
             continue
         block = name in BLOCK_TAGS
-        if token[2]:
+        if closing:
             if block:
                 flush()
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if place is not None:
-                if not block:  # an inline tag does not end the blocks that were opened in it
-                    if not any(t in BLOCK_TAGS for t, _ in stack[place + 1:]):
-                        links -= sum(t == "a" for t, _ in stack[place:])
-                        del stack[place:]
-                else:
-                    links -= sum(t == "a" for t, _ in stack[place:])
-                    del stack[place:]
+            place = stack.place(name)
+            # An inline tag does not end the blocks that were opened in it.
+            if place is not None and (block or not stack.blocks or stack.blocks[-1] < place):
+                stack.close(place)
             continue
         if block:
             flush()
             if name in CLOSES_P or name in ("li", "dd", "dt", "option", "tr", "td", "th"):
-                closes = "p" if name in CLOSES_P and name != "li" else name
-                place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == closes), None)
+                place = stack.place("p" if name in CLOSES_P and name != "li" else name)
                 # Only as far as the tag's own list, table or page section.
-                if place is not None and not any(t in ("ul", "ol", "dl", "table", "div", "section", "article", "aside", "nav", "main", "blockquote", "form")
-                                                 for t, _ in stack[place + 1:]):
-                    links -= sum(t == "a" for t, _ in stack[place:])
-                    del stack[place:]
+                if place is not None and (not stack.sections or stack.sections[-1] <= place):
+                    stack.close(place)
         names = [name]
-        if token[4]:
-            for a, b, c in NAMED.findall(token[4]):
+        if attributes:
+            for a, b, c in NAMED.findall(attributes):
                 names += [f".{p}" for p in PARTS.findall((a or b or c).lower())]
-            if HIDDEN.search(token[4]):
+            if HIDDEN.search(attributes):
                 names.append(".hidden")
-        stack.append((name, tuple(names)))
-        links += name == "a"
+        stack.push(name, tuple(names))
     if at < len(page):
         text.append(entities.unescape(page[at:]))
     flush()
@@ -139,16 +277,17 @@ def _row(token: str) -> int:
     return zlib.crc32(token.encode("utf-8", "ignore")) & 4095
 
 
-_PATHS: dict[tuple[str, ...], np.ndarray] = {}
+#: Names that tell nothing about a block.
+PLAIN = frozenset(("html", "body", "b", "i", "em", "strong", "span", "a", "p"))
+_SUMS: dict[tuple[str, ...], np.ndarray] = {}
 
 
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    if path not in _PATHS:
-        if len(_PATHS) > 50_000:
-            _PATHS.clear()
-        own = [t for t in path if t not in ("html", "body", "b", "i", "em", "strong", "span", "a", "p")] + list(path[-2:])
-        _PATHS[path] = _SIGNS[[_row(t) for t in own], :PATH].sum(axis=0) * np.float32(1.5 / np.sqrt(PATH))
-    return _PATHS[path]
+def _sum_of(names: tuple[str, ...]) -> np.ndarray:
+    if names not in _SUMS:
+        if len(_SUMS) > 50_000:
+            _SUMS.clear()
+        _SUMS[names] = _SIGNS[[_row(t) for t in names], :PATH].sum(axis=0)
+    return _SUMS[names]
 
 
 def _word_means(texts: list[str], most: int = 400_000) -> np.ndarray:
@@ -188,7 +327,7 @@ def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
     if not every:
         return [np.zeros((0, SIZE), np.float32) for _ in pages]
     out = np.empty((len(every), SIZE), np.float32)
-    out[:, :PATH] = np.array([_path_vector(b.path) for b in every])
+    out[:, :PATH] = np.array([b.tag.vector() for b in every])
     out[:, PATH:PATH + WORDS] = _word_means([b.text for b in every])
     n = np.array([len(b.text) for b in every], np.float32)
     place = np.concatenate([np.arange(len(p)) for p in pages])

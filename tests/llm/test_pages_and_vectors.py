@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import io
 import json
+import time
 
 import numpy as np
 import pytest
@@ -35,6 +36,19 @@ def test_blocks_of_odd_markup():
     assert path == ("div", ".side", ".bar", ".x", ".1", "p")
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<a " * 350_000, 1), ("<a" * 500_000 + ' " >', 1), ('<a "' * 250_001 + ">", 1), ("<!x" * 300_000, 1), ("<a \"'" * 200_000 + "> end", 1),
+    ("<div>x" * 100_000, 100_000), ("<div>" * 100_000 + "</p>" * 100_000 + "x", 1), ("<b>" + "<i>" * 50_000 + "<div>" + "</b>" * 50_000 + "x", 1),
+    ("<i>" * 100_000 + "<p>x" * 50_000, 50_000),
+], ids=["unclosed", "names", "quotes", "declarations", "both quotes", "deep", "stray ends", "inline ends", "long paths"])
+def test_broken_pages_of_a_megabyte_take_seconds(page, texts):
+    begin = time.monotonic()
+    found = html_extract.blocks(page)
+    assert len(found) == texts and html_extract.vectors([found])[0].shape == (texts, html_extract.SIZE)
+    assert time.monotonic() - begin < 30
+
+
+
 def test_nothing_is_cut_at_tags_that_begin_like_skipped_ones():
     cut = lambda inner: [b.text for b in html_extract.blocks(f"<article><p>one</p>{inner}<p>two</p></article>")]
     for tag in ("svg-icon", "object-view", "title-bar", "style-guide", "math-field"):
