@@ -3,7 +3,9 @@
 Documents are summed up by membership pattern, the set of sources that hold them. A pattern can give its words
 once at no cost, a second time at a cost, a third time at a higher one: the costs are convex, so a copy is only
 repeated where nothing fresh is left. Successive shortest paths route this capacity to the quotas of the sources.
-The flow has as many nodes as there are patterns and sources, whatever the number of documents.
+The flow has as many nodes as there are patterns and sources, whatever the number of documents. Sources that no chain of
+shared documents connects have nothing to give each other, so each group of connected sources is routed on its own; a
+source that shares nothing, such as one per web host, needs no search at all.
 
 What flows from a pattern to a source is then filled with whole documents in a seeded order: large documents
 first, then middle ones, then small ones, each class aiming at what the classes before have left.
@@ -113,7 +115,40 @@ def flow(capacity: dict[tuple, int], quota: dict, most: int) -> dict[tuple, list
     return taken
 
 
-def selected(rows: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
+def connected(capacity: dict[tuple, int]) -> list[list[tuple]]:
+    """The patterns, those together whose sources shared documents connect."""
+    above: dict = {}
+
+    def top(source):
+        while above.setdefault(source, source) != source:
+            above[source] = above[above[source]]
+            source = above[source]
+        return source
+
+    for p in capacity:
+        for source in p[1:]:
+            above[top(source)] = top(p[0])
+    groups: dict = {}
+    for p in capacity:
+        groups.setdefault(top(p[0]), []).append(p)
+    return list(groups.values())
+
+
+def routed(capacity: dict[tuple, int], quota: dict, most: int) -> dict[tuple, int]:
+    """Words that each pattern gives, repeats counted: the flow of every group of connected sources."""
+    goals = dict.fromkeys(capacity, 0)
+    for patterns in connected(capacity):
+        if len(patterns) == 1 and len(patterns[0]) == 1:
+            (p,) = patterns
+            goals[p] = min(quota[p[0]], most * capacity[p])
+            continue
+        own = {source: quota[source] for p in patterns for source in p}
+        for (p, _), copies in flow({p: capacity[p] for p in patterns}, own, most).items():
+            goals[p] += sum(copies)
+    return goals
+
+
+def selected(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows (pattern, size, ...) with copies added: whole documents whose sizes sum up to about `wanted` per pattern.
 
     wanted: (pattern, goal), goal the words of the pattern to take, repeats counted. Documents are all taken
@@ -174,13 +209,10 @@ def mix(
         for s in p:
             held[s] = held.get(s, 0) + n
     target = targets(held, sum(capacity.values()), weights, share, most)
-    routed = flow(capacity, {s: int(t + Fraction(1, 2)) for s, t in target.items()}, most)
-    goals = {p: 0 for p in capacity}
-    for (p, _), copies in routed.items():
-        goals[p] += sum(copies)
+    goals = routed(capacity, {s: int(t + Fraction(1, 2)) for s, t in target.items()}, most)
     wanted = spark.createDataFrame([(list(p), g) for p, g in goals.items()], "pattern array<string>, goal long")
     facts = spark.createDataFrame([(s, held[s], float(target[s])) for s in held], "_s string, source_size long, target double")
-    got = selected(sized, wanted, seed)
+    got = selected(sized, wanted)
     # One row per source, at most MOST_PATTERNS.
     return (got.join(F.broadcast(facts), F.get("pattern", F.lit(0)).eqNullSafe(F.col("_s")))
             .select("doc_id", "size", "pattern", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "_key"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import collections
 import itertools
+import random
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -229,6 +231,48 @@ def test_targets_and_flow():
     assert sum(v[0] for v in taken.values()) == 160 and sum(v[1] for v in taken.values()) == 20
 
 
+def best_mix(capacity, quota, most):
+    """Most words that can be taken and the least cost of taking so many, by trying every amount per pattern and source."""
+    arcs = [(p, source) for p in capacity for source in p]
+    best = (0, 0)
+    for amounts in itertools.product(*[range(min(most * capacity[p], quota[source]) + 1) for p, source in arcs]):
+        given, got = collections.Counter(), collections.Counter()
+        for (p, source), n in zip(arcs, amounts):
+            given[p] += n
+            got[source] += n
+        if all(n <= most * capacity[p] for p, n in given.items()) and all(n <= quota[source] for source, n in got.items()):
+            cost = sum(max(0, n - copy * capacity[p]) for p, n in given.items() for copy in range(1, most))
+            best = max(best, (sum(amounts), -cost))
+    return best
+
+
+def test_routing_costs_no_more_than_any_other():
+    chance = random.Random(4)
+    kinds = [("a",), ("b",), ("c",), ("a", "b"), ("b", "c"), ("a", "c"), ("a", "b", "c")]
+    for _ in range(120):
+        capacity = {p: chance.randrange(4) for p in chance.sample(kinds, chance.choice([2, 3]))}
+        quota = {source: chance.randrange(5) for source in sorted({source for p in capacity for source in p})}
+        most = chance.choice([2, 3])
+        goals = mixing.routed(capacity, quota, most)
+        assert all(n <= most * capacity[p] for p, n in goals.items())
+        cost = sum(max(0, n - copy * capacity[p]) for p, n in goals.items() for copy in range(1, most))
+        assert (sum(goals.values()), -cost) == best_mix(capacity, quota, most), (capacity, quota, most)
+
+
+def test_many_sources_that_share_little_are_routed_in_seconds():
+    """A source per web host: 10,000 on their own, 500 pairs that share documents, and one without a name."""
+    capacity = {(f"host{i}",): 10 + i % 7 for i in range(10_000)} | {(None,): 5}
+    capacity |= {(f"host{2 * i}", f"host{2 * i + 1}"): 3 for i in range(500)}
+    quota = dict.fromkeys({source for p in capacity for source in p}, 12)
+    begin = time.monotonic()
+    goals = mixing.routed(capacity, quota, 2)
+    assert time.monotonic() - begin < 20
+    assert all(goals[f"host{i}",] == 12 for i in range(1_000, 10_000)) and goals[None,] == 10
+    assert sum(goals[p] for p in capacity if len(p) == 2) + sum(goals[f"host{i}",] for i in range(1_000)) == 12_000
+    groups = mixing.connected(capacity)
+    assert len(groups) == 9_501 and max(map(len, groups)) == 3
+
+
 def test_mixing_meets_its_targets(docs, odd, empty):
     rows = mixing.mix(docs).collect()
     assert sorted(r.asDict()["doc_id"] for r in rows) == sorted(r.doc_id for r in docs.collect())
