@@ -423,5 +423,12 @@ SELECT original_payload, error_reason, NULL::VARCHAR AS source_topic, NULL::INTE
 FROM letter, range(2)"""),
     "stream_then_restate": _with(KEPT_METRIC, f"""
 SELECT * FROM metric WHERE window_end + {LATE} + CASE WHEN window_type = 'session_summary' THEN {GAP} ELSE 0 END <= {NEWEST}"""),
+    "users_by_day": _with(GOOD, f"""
+SELECT "timestamp" // {DAY} * {DAY} AS window_start, count(*) AS event_count, count(DISTINCT user_id) AS unique_users,
+       true AS within_bound FROM good GROUP BY 1"""),
+    "top_products_by_day": _with(GOOD, f"""
+SELECT "timestamp" // {DAY} * {DAY} AS window_start, product_id, count(*) AS n, 0::BIGINT AS error_bound,
+       row_number() OVER (PARTITION BY "timestamp" // {DAY} * {DAY} ORDER BY count(*) DESC, product_id)::INTEGER AS rank
+FROM good WHERE product_id IS NOT NULL GROUP BY "timestamp" // {DAY} * {DAY}, product_id QUALIFY rank <= 10"""),
     "stream_dedupe": _with(GOOD, f"SELECT {STORED} FROM good"),
 }

@@ -23,8 +23,8 @@ from clickloom.schemas import (
     EVENT_SCHEMA, METRICS_COLUMNS, METRICS_SCHEMA, PER_5_MINUTES, PER_MINUTE, SOURCE_COLUMNS, STORED_COLUMNS,
 )
 from clickloom.session import fresh_dir, prepare
-from clickloom.sinks import messages
-from clickloom.sinks.tables import DEAD_LETTERS, Tables
+from clickloom.sinks import messages, sketches
+from clickloom.sinks.tables import DEAD_LETTERS, EVENTS, Tables
 from clickloom.sources import activity_log, decode, topics
 from clickloom.streaming import jobs
 from clickloom.streaming.progress import ProgressLog
@@ -552,6 +552,34 @@ def stream_then_restate(spark, sf_dir):
     return flat(tables.metrics().select(METRICS_COLUMNS))
 
 
+def sketched(spark: SparkSession, sf_dir: str) -> tuple[Tables, DataFrame]:
+    """The events inserted in two parts that overlap, the sketches of their windows brought up to date after each."""
+    tables = Tables(spark, fresh_dir(spark, "sketches"))
+    kept = sketches.Sketches(tables)
+    good = good_events(spark, sf_dir).withColumnRenamed("timestamp", "event_timestamp_ms")
+    for part in (good.where(F.col("source_offset") % 3 != 0), good.where(F.col("source_offset") % 2 == 0), good):
+        tables.insert(part, EVENTS)
+        kept.refresh()
+    return tables, kept.read()
+
+
+@query
+def users_by_day(spark, sf_dir):
+    """Distinct users per day, exact and, from the sketches of minutes, within the bound of the estimate."""
+    tables, found = sketched(spark, sf_dir)
+    day = clock.floor_to(F.col("event_timestamp_ms"), clock.DAY_MS).alias("window_start")
+    exact = tables.events().groupBy(day).agg(F.count_distinct("user_id").alias("unique_users"))
+    near = F.abs(F.col("estimated_users") - F.col("unique_users")) <= F.col("error_bound")
+    return exact.join(sketches.users_by_span(found), "window_start", "full").select(
+        "window_start", "event_count", "unique_users", near.alias("within_bound"))
+
+
+@query
+def top_products_by_day(spark, sf_dir):
+    """The ten most frequent products of each day, from the sketches of minutes."""
+    return sketches.top_products_by_span(sketched(spark, sf_dir)[1])
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     """Every event sent twice, stored once."""
