@@ -423,6 +423,9 @@ SELECT original_payload, error_reason, NULL::VARCHAR AS source_topic, NULL::INTE
 FROM letter, range(2)"""),
     "stream_then_restate": _with(KEPT_METRIC, f"""
 SELECT * FROM metric WHERE window_end + {LATE} + CASE WHEN window_type = 'session_summary' THEN {GAP} ELSE 0 END <= {NEWEST}"""),
+    "stream_updates": _with(KEPT_METRIC, """
+SELECT window_start, event_count, page_views, add_to_carts, purchases, total_revenue_cents, unique_users
+FROM metric WHERE window_type = 'revenue_per_5min'"""),
     "users_by_day": _with(GOOD, f"""
 SELECT "timestamp" // {DAY} * {DAY} AS window_start, count(*) AS event_count, count(DISTINCT user_id) AS unique_users,
        true AS within_bound FROM good GROUP BY 1"""),

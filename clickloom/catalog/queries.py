@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from clickloom import jobs as batch
 from clickloom.config import Settings
 from clickloom.functions import clock
+from clickloom.functions.measures import ADDITIVE
 from clickloom.operators import chain, constraints, dead_letters, late, windows
 from clickloom.operators import sessions as session_ops
 from clickloom.operators.dedupe import first_per_key, not_stored
@@ -26,7 +27,7 @@ from clickloom.session import fresh_dir, prepare
 from clickloom.sinks import messages, sketches
 from clickloom.sinks.tables import DEAD_LETTERS, EVENTS, Tables
 from clickloom.sources import activity_log, decode, topics
-from clickloom.streaming import jobs
+from clickloom.streaming import jobs, updates
 from clickloom.streaming.progress import ProgressLog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -553,11 +554,11 @@ def stream_then_restate(spark, sf_dir):
 
 
 def sketched(spark: SparkSession, sf_dir: str) -> tuple[Tables, DataFrame]:
-    """The events inserted in two parts that overlap, the sketches of their windows brought up to date after each."""
-    tables = Tables(spark, fresh_dir(spark, "sketches"))
+    """Two thirds of the events inserted and then all, the sketches of their windows brought up to date after each."""
+    tables = Tables(spark, fresh_dir(spark, "sketches"), id_buckets=1)
     kept = sketches.Sketches(tables)
     good = good_events(spark, sf_dir).withColumnRenamed("timestamp", "event_timestamp_ms")
-    for part in (good.where(F.col("source_offset") % 3 != 0), good.where(F.col("source_offset") % 2 == 0), good):
+    for part in (good.where(F.col("source_offset") % 3 != 0), good):
         tables.insert(part, EVENTS)
         kept.refresh()
     return tables, kept.read()
@@ -580,6 +581,18 @@ def top_products_by_day(spark, sf_dir):
     return sketches.top_products_by_span(sketched(spark, sf_dir)[1])
 
 
+@query
+def stream_updates(spark, sf_dir):
+    """5-minute windows kept up to date while a stream runs: open ones and those that late messages change are there as well."""
+    root = fresh_dir(spark, "updates")
+    files = message_files(spark, sf_dir, f"{root}/messages", 3, in_time=False)
+    good = chain.process(decode.decode_json(topics.stream_files(spark, f"{root}/messages", files)))
+    live = updates.LiveWindows(spark, f"{root}/live")
+    # The log spans a month, and a message may be late by nearly all of it.
+    _run(updates.update_windows(good, SETTINGS.revenue_seconds, live, f"{root}/state", SETTINGS, once=True, correct_seconds=31 * 86_400))
+    return live.read().select("window_start", *ADDITIVE, F.hll_sketch_estimate("users").alias("unique_users"))
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     """Every event sent twice, stored once."""

@@ -12,7 +12,7 @@ nothing. A window for which a write of events broke off is counted again each ti
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import clock
@@ -34,17 +34,21 @@ SCHEMA = (
     "struct<sketch: binary, maxItemsTracked: int, itemDataType: string, itemDataTypeDDL: string>, window_date date")
 
 
+def sketched(tracked: int = TRACKED) -> list[Column]:
+    """The sketches of a group of events, and the number of its events with a product."""
+    named = "FILTER (WHERE product_id != '')"
+    return [F.expr(f"hll_sketch_agg(user_id, {PRECISION}) AS users"),
+            F.expr(f"count(*) {named} AS product_events"),
+            F.expr(f"hll_sketch_agg(product_id, {PRECISION}) {named} AS products_seen"),
+            F.expr(f"approx_top_k_accumulate(product_id, {tracked}) {named} AS products")]
+
+
 def per_window(events: DataFrame, size_ms: int = MINUTE_MS, tracked: int = TRACKED) -> DataFrame:
     """One row of sketches per window of rows in the layout of clickstream_events. Spark fills a sketch per task and window
     before it shuffles them. Null and blank products are left out, as in the top lists."""
-    time = F.col("event_timestamp_ms")
-    named = "FILTER (WHERE product_id != '')"
-    found = events.groupBy(clock.floor_to(time, size_ms).alias("window_start")).agg(
-        row_count().alias("event_count"), F.bit_xor(row_mark("event_timestamp_ms")).alias("mark"),
-        F.expr(f"hll_sketch_agg(user_id, {PRECISION}) AS users"),
-        F.expr(f"count(*) {named} AS product_events"),
-        F.expr(f"hll_sketch_agg(product_id, {PRECISION}) {named} AS products_seen"),
-        F.expr(f"approx_top_k_accumulate(product_id, {tracked}) {named} AS products"))
+    time = "event_timestamp_ms"
+    found = events.groupBy(clock.floor_to(F.col(time), size_ms).alias("window_start")).agg(
+        row_count().alias("event_count"), F.bit_xor(row_mark(time)).alias("mark"), *sketched(tracked))
     return found.withColumn("window_date", clock.utc_date(F.col("window_start")))
 
 
@@ -86,6 +90,26 @@ def top_products_by_span(sketches: DataFrame, span_ms: int = clock.DAY_MS, k: in
             .select("window_start", "rank", F.col("item").alias("product_id"), F.col("count").alias("n"), "error_bound"))
 
 
+def read_windows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The windows stored at a path, none before the first write."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def replace_windows(stored: DataFrame, rows: DataFrame, dates: list, path: str) -> None:
+    """Write `rows` in place of the stored windows that start with them. Only the days in `dates`, those of the rows, are written
+    again, a file each."""
+    kept = stored.where(F.col("window_date").isin(dates)).join(rows.select("window_start"), "window_start", "left_anti")
+    # The days are read and overwritten: their new content has to be complete before.
+    whole = kept.unionByName(rows.select(kept.columns)).checkpoint()
+    (whole.repartition("window_date").sortWithinPartitions("window_date", "window_start")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_date").parquet(path))
+
+
 class Sketches:
     """The sketches beside the tables of one root folder, partitioned by date. `size_ms` belongs to the stored layout."""
 
@@ -97,13 +121,7 @@ class Sketches:
         self.path = tables.path(WINDOW_SKETCHES)
 
     def read(self) -> DataFrame:
-        spark = self.tables.spark
-        try:
-            return spark.read.schema(SCHEMA).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], SCHEMA)
+        return read_windows(self.tables.spark, self.path, SCHEMA)
 
     def differing(self, since: int = 0) -> DataFrame:
         """Starts of the windows whose stored events are not those that their sketches hold; neither events nor sketches are read."""
@@ -125,8 +143,4 @@ class Sketches:
         time = F.col("event_timestamp_ms")
         near = (self.tables.events().where(F.col("event_date").isin(dates)).where(time.between(ends[0], ends[1] + self.size_ms - 1))
                 .withColumn("window_start", clock.floor_to(time, self.size_ms)).join(found, "window_start", "left_semi"))
-        kept = self.read().where(F.col("window_date").isin(dates)).join(found, "window_start", "left_anti")
-        # The dates are read and overwritten: their new content has to be complete before.
-        rows = kept.unionByName(per_window(near, self.size_ms).select(kept.columns)).checkpoint()
-        (rows.repartition("window_date").sortWithinPartitions("window_date", "window_start")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("window_date").parquet(self.path))
+        replace_windows(self.read(), per_window(near, self.size_ms).checkpoint(), dates, self.path)

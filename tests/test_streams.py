@@ -17,7 +17,7 @@ from clickloom.sinks.tables import Tables
 from clickloom.operators.dead_letters import event_json
 from clickloom.sources.decode import decode_json
 from clickloom.sources.topics import stream_files
-from clickloom.streaming import jobs
+from clickloom.streaming import jobs, updates
 from clickloom.streaming.progress import ProgressLog
 
 S = Settings(session_gap_seconds=120)
@@ -228,3 +228,31 @@ def test_a_stateful_micro_batch_runs_at_full_width(feed, spark, tmp_path):
         assert len(widths) >= 2 and tasks.count(6) >= 2
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_open_and_late_windows_are_updated(feed, spark, tmp_path):
+    minute = T0 // 60_000 * 60_000
+    live = updates.LiveWindows(spark, str(tmp_path / "live"))
+
+    def run():
+        finish(updates.update_windows(chain.process(feed.events()), 60, live, str(tmp_path / "state"), S, once=True, correct_seconds=600))
+        found = live.read().select("window_start", "event_count", F.hll_sketch_estimate("users").alias("users")).collect()
+        return {r.window_start - minute: (r.event_count, r.users) for r in found}
+
+    assert live.read().count() == 0
+    feed.send({"timestamp": minute, "user_id": "a"}, {"timestamp": minute + 5, "user_id": "a"}, {"timestamp": minute + 400_000})
+    # The newest window is open, and there.
+    assert run() == {0: (2, 1), 360_000: (1, 1)}
+    # Late, but windows may be corrected for ten minutes; the other window is left as it was.
+    feed.send({"timestamp": minute + 9, "user_id": "b"}, {"timestamp": 0})
+    assert run() == {0: (3, 2), 360_000: (1, 1)}
+    before = sorted(map(str, live.read().collect()))
+    assert run() == {0: (3, 2), 360_000: (1, 1)}
+    # A micro-batch that runs again changes nothing.
+    live.upsert(live.read().where(F.col("event_count") == 3).checkpoint())
+    assert sorted(map(str, live.read().collect())) == before
+    # Beyond that time a row changes nothing any more.
+    feed.send({"timestamp": minute + 2_000_000})
+    run()
+    feed.send({"timestamp": minute + 10, "user_id": "c"})
+    assert run()[0] == (3, 2)
