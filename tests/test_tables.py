@@ -134,6 +134,33 @@ def test_metrics_insert_and_replace(make, tables):
     assert set(METRICS_COLUMNS) < set(tables.metrics().columns)
 
 
+def once_per_row(spark, df):
+    """The rows, and how often they have been worked out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def test_a_large_insert_works_its_rows_out_once(spark, make, tables):
+    rows, seen = once_per_row(spark, stored(make(*[{"event_id": f"e{i}"} for i in range(40)])))
+    tables.insert(rows, EVENTS)
+    assert tables.events().count() == 40 and seen.value == 40
+
+
+def test_replaced_aggregates_are_worked_out_once(spark, make, tables):
+    found = windows.tumbling(chain.process(make({"timestamp": T0}, {"timestamp": T0 + 86_400_000})), 60, PER_MINUTE)
+    tables.insert(found, METRICS)
+    rows, seen = once_per_row(spark, found)
+    stale, looked = once_per_row(spark, found.limit(1))
+    tables.upsert_metrics(rows, stale)
+    assert tables.metrics().count() == 2 and (seen.value, looked.value) == (2, 1)
+
+
 def test_upsert_into_nothing(make, tables):
     tables.upsert_metrics(windows.tumbling(chain.process(make({})), 60, PER_MINUTE))
     assert tables.metrics().count() == 1
