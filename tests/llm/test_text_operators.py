@@ -10,12 +10,15 @@ import time
 import zlib
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline
 from clickloom.llm import decontamination, langid, line_dedup, mixing, sharding, toxicity
+from clickloom.llm import jaccard_join as jaccard_join_module
 from clickloom.llm.common import sampled
 from clickloom.llm.jaccard_join import jaccard_join
 
@@ -102,6 +105,19 @@ def test_jaccard_join_of_near_copies_keeps_every_link(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == want
 
 
+def test_join_counters_leave_a_task_in_small_batches():
+    texts = [" ".join(f"w{i * 7919 % 5003}" for i in range(n, n + 400)) for n in range(0, 40_000, 400)] + ["same old words again"] * 300
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "key": list(range(len(texts)))})
+    out = [b for b in jaccard_join_module._profiles(3, 21)(iter([rows])) if b.num_rows and b.column("slot")[0].is_valid]
+    assert sum(b.num_rows for b in out) == (1 << 21) // jaccard_join_module.CHUNK
+    assert max(b.nbytes for b in out) < 1 << 20
+    total = sum(int(jaccard_join_module._unpacked(c.as_py(), jaccard_join_module.CHUNK).sum()) for b in out for c in b.column("counts"))
+    assert total == sum(len(shingles(words(t), 3)) for t in texts)
+    for most, size in ((0, 1), (255, 1), (256, 2), (65_536, 4), (1 << 32, 8)):
+        packed = jaccard_join_module._packed(np.array([0, most], np.int64))
+        assert len(packed) == 2 * size and jaccard_join_module._unpacked(packed, 2).tolist() == [0, most]
+
+
 def test_jaccard_join_of_odd_rows(odd, empty):
     got = collections.defaultdict(list)
     for r in jaccard_join(clashing(odd)).collect():
