@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from clickloom.functions.barrier import once
 from clickloom.llm.common import small_enough, stored, unused, words
@@ -39,6 +40,16 @@ def tokens(line: str, k: int) -> str:
             f"else transform(sequence(0, size(w) - {k}), i -> xxhash64({parts})) end)[0]")
 
 
+def _counts(lines: DataFrame, k: int) -> DataFrame:
+    """(b, count): how often the tokens of each counter occur, repeats included; the hashes are those of `tokens`."""
+    parts = ", ".join(f"w[i + {j}]" for j in range(k))
+    # A row per token lets Spark compile the hashing, which costs several times as much inside a lambda.
+    each = once(lines.select("txt"), w=F.expr(words("lower(txt)"))).where("size(w) > 0").select(
+        "w", F.explode(F.expr(f"sequence(0, greatest(size(w) - {k}, 0))")).alias("i"))
+    each = each.select(F.expr(f"case when size(w) < {k} then xxhash64(w) else xxhash64({parts}) end").alias("h"))
+    return each.groupBy(F.expr(f"cast(h & {COUNTERS - 1} as int)").alias("b")).count()
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"),
                        F.posexplode(F.split("text", "\n", -1)).alias("line", "txt"))
@@ -54,8 +65,7 @@ def _within(x: str, y: str, percent: int) -> str:
 def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, key, n_lines, removed): per document its number of lines and the numbers, from 0, of those to remove."""
     lines = _lines(docs)
-    counts = (lines.select(F.explode(F.expr(tokens("txt", k))).alias("h")).groupBy(F.expr(f"cast(h & {COUNTERS - 1} as int)").alias("b"))
-              .count().collect())  # at most COUNTERS rows
+    counts = _counts(lines, k).collect()  # at most COUNTERS rows
     often = {r["b"]: min(r["count"], MOST_COUNT) for r in counts}
     # One number per token that sorts by rarity: the count above, 41 bits of the hash below.
     table = F.split(F.lit(",".join(str(often.get(b, 0) << 41) for b in range(COUNTERS))), ",").cast("array<bigint>")
@@ -73,15 +83,16 @@ def repeated_lines(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "line")
     first = stored(sets.groupBy("class").agg(F.min(place).alias("first")), "classes")
     postings = sets.select("class", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = postings.groupBy("token").agg(F.count("*").alias("_seen")).where("_seen > 1").select("token")
-    near = postings.join(shared, "token").dropDuplicates(["token", "class"])
+    # One shuffle by token finds the tokens of several classes and keeps a row for each of these.
+    own = Window.partitionBy("token")
+    near = postings.withColumn("_least", F.min("class").over(own)).withColumn("_most", F.max("class").over(own)).where("_least != _most")
+    near = near.drop("_least", "_most").dropDuplicates(["token", "class"])
     near = stored(near.join(first, "class"), "postings")
 
     cut = ["class", "n", "pos", "first"]
     hubs = near.groupBy("token").agg(F.min(F.struct("first", "class", "n", "pos")).alias("early"),
-                                     F.min(F.struct("pos", "n", "class", "first")).alias("low"), F.count("*").alias("_classes"))
-    near = stored(near.join(hubs.where("_classes > 1").drop("_classes"), "token"), "postings")
-    star = near.select(*cut, F.explode(F.array(*[F.struct(*[F.col(f"{h}.{c}").alias(c) for c in cut]) for h in ("early", "low")])).alias("hub"))
+                                     F.min(F.struct("pos", "n", "class", "first")).alias("low"))
+    star = near.join(hubs, "token").select(*cut, F.explode(F.array(*[F.struct(*[F.col(f"{h}.{c}").alias(c) for c in cut]) for h in ("early", "low")])).alias("hub"))
     star = star.where(F.col("class") != F.col("hub.class")).where(_within("", "hub.", percent))
     later = F.col("first") > F.col("hub.first")
     star = star.select(F.when(later, F.col("class")).otherwise(F.col("hub.class")).alias("x"),

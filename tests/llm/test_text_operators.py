@@ -314,6 +314,27 @@ def test_mixing_of_overlapping_sources(spark):
     assert abs(sum(r.taken for r in got) - 700) <= 20
 
 
+def test_line_dedup_shuffles_and_stores_its_postings_once(docs, monkeypatch):
+    plans, real = [], line_dedup.stored
+
+    def stored(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    line_dedup.repeated_lines(docs)
+    (postings,) = [plan for name, plan in plans if name == "postings"]
+    assert len(re.findall(r"Exchange hashpartitioning\(token#", postings)) == 1
+
+
+def test_line_dedup_counts_the_tokens_of_its_sets(spark, docs, odd):
+    for df in (docs, odd):
+        lines = line_dedup._lines(df)
+        plain = lines.select(F.explode(F.expr(line_dedup.tokens("txt", 5))).alias("h"))
+        plain = plain.groupBy(F.expr(f"cast(h & {line_dedup.COUNTERS - 1} as int)").alias("b")).count()
+        assert sorted(plain.collect()) == sorted(line_dedup._counts(lines, 5).collect())
+
+
 def test_line_dedup_of_odd_rows(spark, odd, empty):
     got = {r.doc_id: r for r in line_dedup.repeated_lines(clashing(odd)).collect()}
     assert [got[i].n_lines for i in (1, 2, 3)] == [0, 1, 2]
