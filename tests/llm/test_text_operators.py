@@ -105,6 +105,29 @@ def test_jaccard_join_of_near_copies_keeps_every_link(spark):
     assert {r.doc_id: r.component_id for r in got.collect()} == want
 
 
+@pytest.mark.parametrize(("shingles_at_once", "sets_at_once"), [(1 << 18, 512), (1 << 18, 7), (600, 512)])
+def test_jaccard_join_counts_every_link(spark, monkeypatch, shingles_at_once, sets_at_once):
+    """Of near copies all pairs are compared, not only those that join components; also where blocks are small and lengths differ."""
+    monkeypatch.setattr(jaccard_join_module, "BLOCK_SHINGLES", shingles_at_once)
+    monkeypatch.setattr(jaccard_join_module, "BLOCK_SETS", sets_at_once)
+    base = [f"w{i}" for i in range(90)]
+    rows = [(1000 + i, " ".join(base[i % 2:60 + i])) for i in range(30)]
+    for i in range(40):
+        ws = base[:60]
+        for j in range(i % 4):
+            ws[(7 * i + 13 * j) % 60] = f"e{i}_{j}"
+        rows.append((i, " ".join(ws)))
+    pair = "two texts that are like each other and like nothing else here"
+    rows += [(500, pair), (501, "x " + pair), (502, None), (503, rows[3][1])]
+    sets = {i: frozenset(shingles(words(t or ""), 3)) for i, t in rows}
+    links = {s: sum(100 * len(s & t) >= 80 * len(s | t) for t in set(sets.values()) if t and t != s) for s in set(sets.values())}
+    got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 80, counter_bits=12).collect()
+    assert max(links.values()) > 30
+    assert {r.doc_id: r.n_links for r in got} == {i: links[s] for i, s in sets.items()}
+    want, _ = brute_components([(i, t or "") for i, t in rows], 3, 80)
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_join_counters_leave_a_task_in_small_batches():
     texts = [" ".join(f"w{i * 7919 % 5003}" for i in range(n, n + 400)) for n in range(0, 40_000, 400)] + ["same old words again"] * 300
     rows = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "key": list(range(len(texts)))})
