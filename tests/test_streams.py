@@ -230,6 +230,39 @@ def test_a_stateful_micro_batch_runs_at_full_width(feed, spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_an_insert_of_sessions_does_not_run_the_stateful_plan_again(feed, tables, tmp_path):
+    for part in range(2):
+        feed.send(*random_rows(part, 60, T0 + part * 400_000))
+    plans = []
+
+    def write(found, kind):
+        new = tables.new_rows(found.select(METRICS_COLUMNS), "aggregated_metrics", kind, distinct=True, small=True)
+        plans.append(new._jdf.queryExecution().withCachedData().toString())
+        jobs.metrics_to_table(tables)(found, kind)
+
+    finish(jobs.session_metrics(chain.process(feed.events()), write, str(tmp_path / "state"), S, once=True))
+    assert len(plans) >= 2 and "InMemoryRelation" in plans[-1] and "LogicalRDD [user_id" not in plans[-1]
+    assert as_set(tables.metrics()) and tables.metrics().count() == tables.metrics().select("window_id").distinct().count()
+
+
+def test_marks_of_a_micro_batch_are_written_into_few_files(feed, spark, tmp_path):
+    """No file per state partition and date."""
+    tables = Tables(spark, str(tmp_path / "store"), files_per_batch=1)
+    for part in range(2):
+        feed.send(*[{**r, "session_id": f"s{i % 9}", "timestamp": r["timestamp"] + i % 3 * 86_400_000 + part * 10 * 86_400_000}
+                    for i, r in enumerate(random_rows(part, 90, T0))])
+    batches = []
+    note = jobs.marks_to_table(tables)
+    queries = jobs.all_metrics(chain.process(feed.events()), lambda *_: None, str(tmp_path / "state"), S, once=True,
+                               note=lambda found, kind: (batches.append(kind), note(found, kind)))
+    finish(*queries)
+    for kind in (PER_MINUTE, PER_5_MINUTES, SESSION):
+        rows = tables.marks.counted(kind)
+        dates = rows.select("event_date").distinct().count()
+        assert dates >= 3 and len(rows.inputFiles()) <= batches.count(kind) * dates
+        assert rows.groupBy("event_date", F.input_file_name()).count().groupBy("event_date").count().agg(F.max("count")).first()[0] <= batches.count(kind)
+
+
 def test_open_and_late_windows_are_updated(feed, spark, tmp_path):
     minute = T0 // 60_000 * 60_000
     live = updates.LiveWindows(spark, str(tmp_path / "live"))
